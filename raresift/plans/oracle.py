@@ -92,3 +92,87 @@ SELECT label, count(*) AS rows,
 FROM t_clean
 GROUP BY label
 """
+
+# Fixed value: fraction of the sampling query (same as the Spark query).
+_SAMPLE_CUT = hash_cut_hex(0.3)
+
+ORACLE["sample_fraction"] = _with(T_RAW) + f"""
+SELECT * FROM t_raw
+WHERE substr(md5('{SEED}:' || txn_key), 1, 8) < '{_SAMPLE_CUT}'
+"""
+
+ORACLE["train_test_counts"] = _with(T_SPLIT) + """
+SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS split, label, count(*) AS rows
+FROM t_split
+GROUP BY ALL
+"""
+
+
+def _txn_scored() -> str:
+    from raresift.plans.queries import TXN_SCORER
+
+    return T_SPLIT + f""",
+t_scored AS (
+    SELECT *, {TXN_SCORER.sql_probability()} AS probability
+    FROM t_split WHERE NOT is_train
+),
+t_pred AS (
+    SELECT *, CASE WHEN probability > {TXN_SCORER.threshold!r} THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+    FROM t_scored
+)"""
+
+
+ORACLE["score_closed_form"] = _with(_txn_scored()) + """
+SELECT txn_key, label, round(probability, 6) AS probability, prediction FROM t_pred
+"""
+
+ORACLE["confusion_matrix"] = _with(_txn_scored()) + """
+SELECT label, CAST(prediction AS INTEGER) AS prediction, count(*) AS count
+FROM t_pred GROUP BY ALL ORDER BY 1, 2
+"""
+
+ORACLE["sample_predictions"] = _with(_txn_scored()) + """
+SELECT txn_key, label, CAST(prediction AS INTEGER) AS prediction
+FROM t_pred ORDER BY txn_key LIMIT 50
+"""
+
+ORACLE["flagged_alerts"] = _with(_txn_scored()) + """
+SELECT txn_key,
+       printf('FRAUD FLAGGED: time=%.1f amount=%.2f', "Time", Amount) AS alert,
+       "Time", Amount, prediction
+FROM t_pred WHERE prediction = 1.0
+"""
+
+_EVENT_AREAS = """
+WITH g AS (
+    SELECT value AS s,
+           CAST(count(*) FILTER (WHERE event_type = 'error') AS DOUBLE) AS p,
+           CAST(count(*) FILTER (WHERE event_type <> 'error') AS DOUBLE) AS n
+    FROM events WHERE value IS NOT NULL GROUP BY value
+),
+c AS (
+    SELECT p, n,
+           sum(p) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+           sum(n) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp
+    FROM g
+),
+a AS (
+    SELECT sum(p) AS "P", sum(n) AS "N", sum(p * fp) AS "A", sum(p * n) AS "C",
+           sum(p * (tp / (tp + fp)
+                    + CASE WHEN tp - p + fp - n = 0 THEN tp / (tp + fp)
+                           ELSE (tp - p) / (tp - p + fp - n) END) / 2) AS "R"
+    FROM c
+)
+"""
+
+ORACLE["auc_roc"] = _EVENT_AREAS + """
+SELECT round(("P" * "N" - "A" + "C" / 2) / ("P" * "N"), 9) AS auc_roc,
+       CAST("P" AS BIGINT) AS positives, CAST("N" AS BIGINT) AS negatives
+FROM a
+"""
+
+ORACLE["auc_pr"] = _EVENT_AREAS + """
+SELECT round("R" / "P", 9) AS auc_pr,
+       CAST("P" AS BIGINT) AS positives, CAST("N" AS BIGINT) AS negatives
+FROM a
+"""

@@ -11,10 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from raresift.functions.expressions import SEED, alert_text
 from raresift.functions.schema import LABEL
-from raresift.operators.clean import clean_table
-from raresift.operators.profile import class_profile, class_counts, class_weights
-from raresift.sources.fixtures import TXN_KEY, transactions
+from raresift.functions.scoring import LinearScorer
+from raresift.operators.clean import clean_table, sample_rows
+from raresift.operators.evaluate import binary_areas, confusion_matrix, sample_predictions
+from raresift.operators.profile import class_counts, class_profile, class_weights
+from raresift.operators.split import split_counts, train_test_split
+from raresift.sources.fixtures import TXN_KEY, event_features, transactions
+
+# Constant scorers of the oracle-checked scoring queries
+# (weights on raw, unscaled features; threshold 0.7 as in the training job).
+TXN_SCORER = LinearScorer(intercept=-40.0, weights={"V1": 0.5, "V2": 200.0}, threshold=0.7)
+EVENT_SCORER = LinearScorer(
+    intercept=-9.5, weights={"V1": 0.002, "V2": 0.004, "Amount": 0.05}, threshold=0.7
+)
+# Fixed value: fraction of the sampling query.
+SAMPLE_FRACTION = 0.3
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -60,4 +73,63 @@ def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_weights(clean_fixture(spark, sf_dir), LABEL)
 
 
-__all__ = ["QUERIES", "TXN_KEY"]
+@register("sample_fraction")
+def q_sample_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_rows(transactions(spark, sf_dir), SAMPLE_FRACTION, SEED, key=[TXN_KEY])
+
+
+@register("train_test_counts")
+def q_train_test_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_counts(clean_fixture(spark, sf_dir), TXN_KEY, LABEL)
+
+
+def scored_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out rows of clean T scored by the constant scorer."""
+    _, test = train_test_split(clean_fixture(spark, sf_dir), TXN_KEY)
+    return TXN_SCORER.score(test)
+
+
+@register("score_closed_form")
+def q_score_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_test(spark, sf_dir).select(
+        TXN_KEY, LABEL, F.round("probability", 6).alias("probability"), "prediction"
+    )
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confusion_matrix(scored_test(spark, sf_dir))
+
+
+@register("sample_predictions")
+def q_sample_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_predictions(scored_test(spark, sf_dir), TXN_KEY, 50)
+
+
+@register("flagged_alerts")
+def q_flagged_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = scored_test(spark, sf_dir).filter(F.col("prediction") == 1.0)
+    return flagged.select(
+        TXN_KEY,
+        alert_text("Time", "Amount").alias("alert"),
+        "Time",
+        "Amount",
+        "prediction",
+    )
+
+
+def event_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_areas(event_features(spark, sf_dir), "Amount", "label")
+
+
+@register("auc_roc")
+def q_auc_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_areas(spark, sf_dir).select(F.round("auc_roc", 9).alias("auc_roc"), "positives", "negatives")
+
+
+@register("auc_pr")
+def q_auc_pr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_areas(spark, sf_dir).select(F.round("auc_pr", 9).alias("auc_pr"), "positives", "negatives")
+
+
+__all__ = ["QUERIES", "TXN_KEY", "TXN_SCORER", "EVENT_SCORER"]
