@@ -176,3 +176,12 @@ SELECT round("R" / "P", 9) AS auc_pr,
        CAST("P" AS BIGINT) AS positives, CAST("N" AS BIGINT) AS negatives
 FROM a
 """
+
+ORACLE["scaler_std"] = _with(T_SPLIT) + """
+, tr AS (SELECT * FROM t_split WHERE is_train)
+SELECT 'Time' AS feature, round(stddev_samp("Time"), 6) AS std FROM tr
+UNION ALL SELECT 'V1', round(stddev_samp(V1), 6) FROM tr
+UNION ALL SELECT 'V2', round(stddev_samp(V2), 6) FROM tr
+UNION ALL SELECT 'V3', round(stddev_samp(V3), 6) FROM tr
+UNION ALL SELECT 'Amount', round(stddev_samp(Amount), 6) FROM tr
+"""

@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raresift.functions.expressions import SEED, alert_text
-from raresift.functions.schema import LABEL
+from raresift.functions.schema import LABEL, WEIGHT, feature_columns
 from raresift.functions.scoring import LinearScorer
 from raresift.operators.clean import clean_table, sample_rows
-from raresift.operators.evaluate import binary_areas, confusion_matrix, sample_predictions
-from raresift.operators.profile import class_counts, class_profile, class_weights
+from raresift.operators.evaluate import binary_areas, confusion_matrix, evaluator_areas, sample_predictions
+from raresift.operators.model import fit_classifier, load_model, save_model, scaler_deviations, score
+from raresift.operators.persist import keep
+from raresift.operators.profile import class_counts, class_profile, class_weights, with_class_weight
 from raresift.operators.split import split_counts, train_test_split
+from raresift.plans.training import run_training
+from raresift.session import scratch_path
 from raresift.sources.fixtures import TXN_KEY, event_features, transactions
 
 # Constant scorers of the oracle-checked scoring queries
@@ -132,4 +136,61 @@ def q_auc_pr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_areas(spark, sf_dir).select(F.round("auc_pr", 9).alias("auc_pr"), "positives", "negatives")
 
 
+def fitted_fixture(spark: SparkSession, sf_dir: str):
+    """Weighted clean T, split by key, and the pipeline fitted on its train rows."""
+    weighted = with_class_weight(clean_fixture(spark, sf_dir))
+    train, test = train_test_split(weighted, TXN_KEY)
+    features = feature_columns(weighted, exclude=(LABEL, WEIGHT), extra_exclude=[TXN_KEY])
+    model = fit_classifier(train, features)
+    return model, features, train, test
+
+
+@register("scaler_std")
+def q_scaler_std(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, features, _, _ = fitted_fixture(spark, sf_dir)
+    rows = scaler_deviations(model, features)
+    return spark.createDataFrame(rows, "feature string, std double").select(
+        "feature", F.round("std", 6).alias("std")
+    )
+
+
+@register("fit_quality")
+def q_fit_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _, train, test = fitted_fixture(spark, sf_dir)
+    predictions = keep(score(model, test))
+    roc, pr = evaluator_areas(predictions, num_bins=0)
+    exact = binary_areas(predictions, "p_positive", LABEL)
+    counts = train.agg(F.count(F.lit(1))).scalar()
+    return exact.select(
+        counts.alias("train_rows"),
+        (F.col("positives") + F.col("negatives")).alias("test_rows"),
+        F.round("auc_roc", 6).alias("auc_roc"),
+        F.round("auc_pr", 6).alias("auc_pr"),
+        F.lit(round(roc, 6)).alias("evaluator_auc_roc"),
+        F.lit(round(pr, 6)).alias("evaluator_auc_pr"),
+    )
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _, _, test = fitted_fixture(spark, sf_dir)
+    path = save_model(model, scratch_path(spark, "model"))
+    loaded = load_model(path)
+    return score(loaded, test).select(
+        TXN_KEY, LABEL, F.round("p_positive", 6).alias("probability"), "prediction"
+    )
+
+
+@register("training_summary")
+def q_training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = run_training(
+        spark,
+        transactions(spark, sf_dir),
+        dataset_path=f"{sf_dir}/lineitem.parquet",
+        output_dir=scratch_path(spark, "training"),
+        key=[TXN_KEY],
+    )
+    return result.summary
+
+
 __all__ = ["QUERIES", "TXN_KEY", "TXN_SCORER", "EVENT_SCORER"]
