@@ -185,3 +185,119 @@ UNION ALL SELECT 'V2', round(stddev_samp(V2), 6) FROM tr
 UNION ALL SELECT 'V3', round(stddev_samp(V3), 6) FROM tr
 UNION ALL SELECT 'Amount', round(stddev_samp(Amount), 6) FROM tr
 """
+
+
+# Fixture E and its message stream (same fault ids as the Spark fixture).
+def _event_ctes() -> str:
+    from raresift.plans.queries import EVENT_SCORER
+    from raresift.sources.fixtures import (
+        BAD_IDS,
+        JSON_NULL_ID,
+        MISSING_FIELD_ID,
+        NAN_ID,
+        NOT_A_NUMBER_ID,
+        REDELIVERED_IDS,
+    )
+
+    bad = ", ".join(map(str, BAD_IDS))
+    redelivered = ", ".join(map(str, REDELIVERED_IDS))
+    return f"""
+e AS (
+    SELECT event_id AS __id,
+           epoch_us(ts) / 1e6 AS "Time",
+           CAST(user_id AS DOUBLE) AS V1,
+           CAST(json_extract_string(props, '$.k') AS DOUBLE) AS V2,
+           value AS Amount,
+           CAST(event_type = 'error' AS INTEGER) AS label
+    FROM events
+),
+body AS (
+    SELECT
+        CASE WHEN __id IN ({bad}) THEN NULL ELSE __id END AS __id,
+        CASE WHEN __id IN ({bad}) THEN 'bad'
+             WHEN __id IN ({MISSING_FIELD_ID}, {JSON_NULL_ID}, {NAN_ID}, {NOT_A_NUMBER_ID}) THEN 'invalid'
+             ELSE 'ok' END AS kind,
+        CASE WHEN __id IN ({bad}) THEN 'not_a_json_object'
+             WHEN __id = {MISSING_FIELD_ID} THEN 'Amount:missing'
+             WHEN __id = {JSON_NULL_ID} THEN 'V1:missing'
+             WHEN __id = {NAN_ID} THEN 'Time:nan'
+             WHEN __id = {NOT_A_NUMBER_ID} THEN 'V2:not_a_number'
+             END AS reason,
+        CASE WHEN __id IN ({bad}) THEN NULL WHEN __id = {NAN_ID} THEN CAST('nan' AS DOUBLE) ELSE "Time" END AS "Time",
+        CASE WHEN __id IN ({bad}) OR __id = {JSON_NULL_ID} THEN NULL ELSE V1 END AS V1,
+        CASE WHEN __id IN ({bad}) OR __id = {NOT_A_NUMBER_ID} THEN NULL ELSE V2 END AS V2,
+        CASE WHEN __id IN ({bad}) OR __id = {MISSING_FIELD_ID} THEN NULL ELSE Amount END AS Amount,
+        CAST(NULL AS BIGINT) AS total_published,
+        __id AS src_id
+    FROM e
+),
+deliveries AS (
+    SELECT CAST(NULL AS BIGINT) AS __id, 'sentinel' AS kind, CAST(NULL AS VARCHAR) AS reason,
+           CAST(NULL AS DOUBLE) AS "Time", CAST(NULL AS DOUBLE) AS V1, CAST(NULL AS DOUBLE) AS V2,
+           CAST(NULL AS DOUBLE) AS Amount, (SELECT count(*) FROM events) AS total_published,
+           CAST(NULL AS BIGINT) AS src_id
+    UNION ALL SELECT * FROM body
+    UNION ALL SELECT * FROM body WHERE src_id IN ({redelivered})
+),
+scored AS (
+    SELECT *,
+           CASE WHEN kind = 'ok' THEN {EVENT_SCORER.sql_probability()} END AS probability
+    FROM deliveries
+),
+pred AS (
+    SELECT *,
+           CASE WHEN kind <> 'ok' THEN NULL
+                WHEN probability > {EVENT_SCORER.threshold!r} THEN CAST(1.0 AS DOUBLE)
+                ELSE CAST(0.0 AS DOUBLE) END AS prediction
+    FROM scored
+)"""
+
+
+ORACLE["encode_events"] = "WITH " + _event_ctes().strip() + """
+SELECT __id, "Time", V1, V2, Amount, label FROM e
+"""
+
+ORACLE["decode_events"] = "WITH " + _event_ctes().strip() + """
+SELECT __id, kind, reason, "Time", V1, V2, Amount, total_published FROM deliveries
+"""
+
+ORACLE["stream_scored"] = "WITH " + _event_ctes().strip() + """
+SELECT __id, round(probability, 6) AS probability, prediction FROM pred WHERE kind = 'ok'
+"""
+
+ORACLE["stream_report"] = "WITH " + _event_ctes().strip() + """
+SELECT
+    count(*) FILTER (WHERE kind <> 'sentinel') AS total_messages_seen,
+    max(total_published) AS sentinel_total_published,
+    count(*) FILTER (WHERE prediction = 1.0) AS frauds_flagged_count,
+    count(DISTINCT CASE WHEN prediction = 1.0 THEN "Time" END) AS frauds_distinct_time,
+    count(DISTINCT CASE WHEN prediction = 1.0 THEN __id END) AS frauds_distinct_id,
+    count(DISTINCT CASE WHEN kind <> 'sentinel' THEN __id END) AS distinct_ids_seen,
+    count(*) FILTER (WHERE kind = 'ok') AS scored_messages,
+    count(*) FILTER (WHERE kind = 'invalid') AS invalid_messages,
+    count(*) FILTER (WHERE kind = 'bad') AS bad_messages,
+    coalesce(count(DISTINCT CASE WHEN kind <> 'sentinel' THEN __id END) = max(total_published), false) AS complete
+FROM pred
+"""
+
+ORACLE["report_fields"] = "WITH " + _event_ctes().strip() + """
+SELECT
+    count(*) FILTER (WHERE prediction = 1.0) AS frauds_flagged_count,
+    count(*) FILTER (WHERE kind <> 'sentinel') AS total_messages_seen,
+    max(total_published) AS sentinel_total_published
+FROM pred
+"""
+
+ORACLE["unique_by_time"] = "WITH " + _event_ctes().strip() + """
+, top AS (
+    SELECT __id, "Time", Amount, prediction FROM pred
+    WHERE prediction = 1.0 ORDER BY __id LIMIT 100
+)
+SELECT DISTINCT "Time", Amount, prediction FROM top ORDER BY "Time"
+"""
+
+ORACLE["stream_dedup"] = "WITH " + _event_ctes().strip() + """
+SELECT DISTINCT __id, kind, reason FROM deliveries WHERE __id IS NOT NULL
+UNION ALL
+SELECT __id, kind, reason FROM deliveries WHERE __id IS NULL
+"""

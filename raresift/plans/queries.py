@@ -22,7 +22,18 @@ from raresift.operators.profile import class_counts, class_profile, class_weight
 from raresift.operators.split import split_counts, train_test_split
 from raresift.plans.training import run_training
 from raresift.session import scratch_path
-from raresift.sources.fixtures import TXN_KEY, event_features, transactions
+from raresift.operators.events import decode_messages, encode_messages
+from raresift.plans.streaming_job import ScoringOutput, publish, run_stream_scoring
+from raresift.sources.fixtures import (
+    EVENT_FEATURES,
+    EVENT_KEY,
+    TXN_KEY,
+    event_features,
+    event_messages,
+    transactions,
+)
+from raresift.sources.tables import read_report
+from raresift.streaming.report import report_frauds, unique_by
 
 # Constant scorers of the oracle-checked scoring queries
 # (weights on raw, unscaled features; threshold 0.7 as in the training job).
@@ -193,4 +204,80 @@ def q_training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.summary
 
 
+@register("encode_events")
+def q_encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round trip: rows -> JSON text messages -> parsed rows."""
+    messages = encode_messages(event_features(spark, sf_dir), EVENT_KEY, EVENT_FEATURES + ["label"])
+    decoded = decode_messages(messages, EVENT_FEATURES, passthrough=["label"])
+    return decoded.select(EVENT_KEY, *EVENT_FEATURES, F.col("label").try_cast("int").alias("label"))
+
+
+@register("decode_events")
+def q_decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivery of the faulty message fixture, parsed and routed (batch)."""
+    m = event_messages(spark, sf_dir)
+    deliveries = m["first"].unionByName(m["body"]).unionByName(m["redelivered"])
+    decoded = decode_messages(deliveries, EVENT_FEATURES)
+    return decoded.select(EVENT_KEY, "kind", "reason", *EVENT_FEATURES, "total_published")
+
+
+def published_events(spark: SparkSession, sf_dir: str) -> str:
+    """Write the message fixture as files: sentinel first, repeats last."""
+    m = event_messages(spark, sf_dir)
+    return publish([m["first"], m["body"], m["redelivered"]], scratch_path(spark, "messages"))
+
+
+def stream_run(spark: SparkSession, sf_dir: str, dedupe_delay: str | None = None, report: bool = False) -> ScoringOutput:
+    work = scratch_path(spark, "stream")
+    return run_stream_scoring(
+        spark,
+        published_events(spark, sf_dir),
+        work,
+        EVENT_FEATURES,
+        EVENT_SCORER,
+        passthrough=["label"],
+        dedupe_delay=dedupe_delay,
+        report_path=f"{work}/report" if report else None,
+    )
+
+
+@register("stream_scored")
+def q_stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = stream_run(spark, sf_dir).sink
+    return sink.filter(F.col("kind") == "ok").select(
+        EVENT_KEY, F.round("probability", 6).alias("probability"), "prediction"
+    )
+
+
+@register("stream_report")
+def q_stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = stream_run(spark, sf_dir).report
+    return report.drop("frauds", "elapsed_seconds")
+
+
+def report_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the stream, write its report and read the document back (SNK4, SRC8)."""
+    work = stream_run(spark, sf_dir, report=True)
+    path = work.run.sink_path.rsplit("/", 1)[0] + "/report"
+    return read_report(spark, path)
+
+
+@register("report_fields")
+def q_report_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc = report_document(spark, sf_dir)
+    return doc.select("frauds_flagged_count", "total_messages_seen", "sentinel_total_published")
+
+
+@register("unique_by_time")
+def q_unique_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frauds = report_frauds(report_document(spark, sf_dir), ("Time", "Amount", "prediction"))
+    return unique_by(frauds, "Time", "pos").select("Time", "Amount", "prediction")
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = stream_run(spark, sf_dir, dedupe_delay="10 minutes").sink
+    return sink.select(EVENT_KEY, "kind", "reason")
+
+
 __all__ = ["QUERIES", "TXN_KEY", "TXN_SCORER", "EVENT_SCORER"]

@@ -65,3 +65,49 @@ def event_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("Amount"),
         (F.col("event_type") == "error").cast("int").alias("label"),
     )
+
+
+# Ids of the faults injected into the event-message fixture.
+# Each replaces the message of that id; all ids exist at every scale.
+MISSING_FIELD_ID = 13  # "Amount" left out
+JSON_NULL_ID = 17  # "V1": null
+NAN_ID = 19  # "Time": "nan"
+NOT_A_NUMBER_ID = 23  # "V2": "abc"
+NOT_JSON_ID = 29  # text that is not JSON
+JSON_ARRAY_ID = 31  # a JSON array instead of an object
+NULL_MESSAGE_ID = 37  # the JSON literal null
+REDELIVERED_IDS = (5, 50, 500)  # delivered a second time, in a later file
+INVALID_IDS = (MISSING_FIELD_ID, JSON_NULL_ID, NAN_ID, NOT_A_NUMBER_ID)
+BAD_IDS = (NOT_JSON_ID, JSON_ARRAY_ID, NULL_MESSAGE_ID)
+
+
+def event_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The published message stream of fixture E, as three deliveries.
+
+    ``first``: the sentinel alone (it must not end the run early);
+    ``body``: one message per event with the faults above;
+    ``redelivered``: exact repeats of a few body messages.
+    Each is a DataFrame of ``__id`` (null for the sentinel) and ``value``.
+    """
+    from raresift.operators.events import encode_messages, sentinel_message
+
+    feats = event_features(spark, sf_dir)
+    clean = encode_messages(feats, EVENT_KEY, EVENT_FEATURES + ["label"])
+    i = F.col(EVENT_KEY)
+    v = F.col("value")
+    faulty = (
+        F.when(i == MISSING_FIELD_ID, F.regexp_replace(v, r',?"Amount":"[^"]*"', ""))
+        .when(i == JSON_NULL_ID, F.regexp_replace(v, r'"V1":"[^"]*"', '"V1":null'))
+        .when(i == NAN_ID, F.regexp_replace(v, r'"Time":"[^"]*"', '"Time":"nan"'))
+        .when(i == NOT_A_NUMBER_ID, F.regexp_replace(v, r'"V2":"[^"]*"', '"V2":"abc"'))
+        .when(i == NOT_JSON_ID, F.concat(F.lit("not json {"), i.cast("string")))
+        .when(i == JSON_ARRAY_ID, F.concat(F.lit("["), i.cast("string"), F.lit(", 2, 3]")))
+        .when(i == NULL_MESSAGE_ID, F.lit("null"))
+        .otherwise(v)
+    )
+    body = clean.select(i, faulty.alias("value"))
+    return {
+        "first": sentinel_message(clean),
+        "body": body,
+        "redelivered": body.filter(i.isin(*REDELIVERED_IDS)),
+    }
