@@ -51,9 +51,12 @@ def running_totals(
     """
     num_buckets = num_buckets or default_buckets(df)
     splits = quantile_splits(quantile_source if quantile_source is not None else df, order_col, num_buckets)
-    bucketed = Bucketizer(
-        splits=splits, inputCol=order_col, outputCol=_BUCKET, handleInvalid="keep"
-    ).transform(df)
+    if len(splits) > 2:
+        bucketed = Bucketizer(
+            splits=splits, inputCol=order_col, outputCol=_BUCKET, handleInvalid="keep"
+        ).transform(df)
+    else:  # one bucket (tiny or constant input)
+        bucketed = df.withColumn(_BUCKET, F.lit(0.0))
 
     totals = bucketed.groupBy(_BUCKET).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     bucket_order = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()

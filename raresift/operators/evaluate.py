@@ -85,7 +85,16 @@ def evaluator_areas(
     raw_prediction: str = "rawPrediction",
     num_bins: int = 1000,
 ) -> tuple[float, float]:
-    """(AUC-ROC, AUC-PR) from MLlib's evaluator, as the training job reports them."""
+    """(AUC-ROC, AUC-PR) from MLlib's evaluator, as the training job reports them.
+
+    The evaluator fails on a set with one class only; that case gives NaN
+    areas instead (checked with one bounded count first).
+    """
+    counts = predictions.agg(
+        F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")
+    ).first()
+    if not counts["p"] or not counts["n"]:
+        return float("nan"), float("nan")
     roc = BinaryClassificationEvaluator(
         labelCol=label, rawPredictionCol=raw_prediction, metricName="areaUnderROC", numBins=num_bins
     ).evaluate(predictions)
