@@ -152,7 +152,7 @@ def fitted_fixture(spark: SparkSession, sf_dir: str):
     weighted = with_class_weight(clean_fixture(spark, sf_dir))
     train, test = train_test_split(weighted, TXN_KEY)
     features = feature_columns(weighted, exclude=(LABEL, WEIGHT), extra_exclude=[TXN_KEY])
-    model = fit_classifier(train, features)
+    model = fit_classifier(keep(train), features)
     return model, features, train, test
 
 

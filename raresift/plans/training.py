@@ -1,7 +1,7 @@
 """The training job: clean -> profile -> weight -> split -> fit -> evaluate -> document (PAR1).
 
-Parameters are keyword arguments (the command-line shell of the original
-job is not rebuilt).  The summary is a one-row DataFrame whose nested
+Parameters are keyword arguments (``python -m raresift train`` maps its flags
+onto them).  The summary is a one-row DataFrame whose nested
 arrays come from scalar subqueries, written with a Spark JSON sink.
 """
 
@@ -73,7 +73,11 @@ def run_training(
     train = flagged.filter(F.col(SPLIT) == "train").drop(SPLIT)
     test = flagged.filter(F.col(SPLIT) == "test").drop(SPLIT)
 
+    # The optimiser makes one pass per iteration: keep the training rows
+    # (split hash and weight already applied) instead of recomputing them.
+    train = keep(train)
     model = fit_classifier(train, features, max_iter=max_iter, threshold=decision_threshold)
+    train.unpersist()
     if model_output_dir:
         save_model(model, model_output_dir)
 
