@@ -41,23 +41,28 @@ SOURCE_FILE = "source_file"
 
 def message_stream(
     spark: SparkSession,
-    source: str,
+    source: str | None,
     max_files_per_trigger: int | None = 1,
     fmt: str = "text",
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Stream of raw messages from a folder of JSON-lines files (SRC4).
+    """Stream of raw messages (SRC4).
 
-    Each row carries its ``value`` text, the file it came from and the
-    processing time of its micro-batch (``arrived_at``).  A Kafka source has
-    the same ``value`` column, so everything downstream is unchanged.
+    Each row carries its ``value`` text, where it came from and the
+    processing time of its micro-batch (``arrived_at``).  File formats read a
+    folder of JSON-lines files; any other format (``kafka`` with its
+    ``subscribe``/bootstrap options, for one) is read with ``options`` and
+    only needs a ``value`` column.
     """
-    reader = spark.readStream.format(fmt)
-    if max_files_per_trigger:
+    reader = spark.readStream.format(fmt).options(**(options or {}))
+    file_source = fmt in ("text", "json", "csv", "parquet")
+    if file_source and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.load(source)
+    raw = reader.load(source) if source else reader.load()
+    origin = F.col("_metadata.file_name") if file_source else F.lit(fmt)
     return raw.select(
-        F.col("value"),
-        F.col("_metadata.file_name").alias(SOURCE_FILE),
+        F.col("value").cast("string").alias("value"),
+        origin.alias(SOURCE_FILE),
         F.current_timestamp().alias(ARRIVED),
     )
 
