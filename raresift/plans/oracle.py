@@ -301,3 +301,11 @@ SELECT DISTINCT __id, kind, reason FROM deliveries WHERE __id IS NOT NULL
 UNION ALL
 SELECT __id, kind, reason FROM deliveries WHERE __id IS NULL
 """
+
+ORACLE["csv_class_profile"] = ORACLE["class_profile"]
+
+ORACLE["published_positions"] = "WITH " + _event_ctes().strip() + """
+SELECT CAST(row_number() OVER (ORDER BY __id) - 1 AS BIGINT) AS __id, 'ok' AS kind,
+       "Time", V1, V2, Amount, label
+FROM e
+"""

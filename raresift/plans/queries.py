@@ -22,7 +22,7 @@ from raresift.operators.profile import class_counts, class_profile, class_weight
 from raresift.operators.split import split_counts, train_test_split
 from raresift.plans.training import run_training
 from raresift.session import scratch_path
-from raresift.operators.events import decode_messages, encode_messages
+from raresift.operators.events import decode_messages, encode_messages, with_input_position
 from raresift.plans.streaming_job import ScoringOutput, publish, run_stream_scoring
 from raresift.sources.fixtures import (
     EVENT_FEATURES,
@@ -32,7 +32,7 @@ from raresift.sources.fixtures import (
     event_messages,
     transactions,
 )
-from raresift.sources.tables import read_report
+from raresift.sources.tables import read_csv_strings, read_csv_table, read_report
 from raresift.streaming.report import report_frauds, unique_by
 
 # Constant scorers of the oracle-checked scoring queries
@@ -280,4 +280,37 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.select(EVENT_KEY, "kind", "reason")
 
 
+@register("csv_class_profile")
+def q_csv_class_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile read through a headed CSV with inferred types (SRC1)."""
+    path = scratch_path(spark, "transactions-csv")
+    transactions(spark, sf_dir).write.option("header", True).csv(path)
+    raw = read_csv_table(spark, path, infer_schema=True)
+    return class_profile(spark, clean_table(raw), view="transactions_csv")
+
+
+@register("published_positions")
+def q_published_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key-less CSV -> input position as ``__id`` -> JSON messages -> parsed (SRC3, PRJ7, SNK5)."""
+    path = scratch_path(spark, "events-csv")
+    feats = event_features(spark, sf_dir).orderBy(EVENT_KEY)
+    feats.drop(EVENT_KEY).write.option("header", True).csv(path)
+    rows = with_input_position(read_csv_strings(spark, path), EVENT_KEY)
+    decoded = decode_messages(encode_messages(rows, EVENT_KEY), EVENT_FEATURES, passthrough=["label"])
+    return decoded.select(EVENT_KEY, "kind", *EVENT_FEATURES, F.col("label").try_cast("int").alias("label"))
+
+
+@register("stream_model_scored")
+def q_stream_model_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream scored by a saved MLlib pipeline fitted on the event table (ML6, SRC7)."""
+    ev = event_features(spark, sf_dir)
+    model = fit_classifier(keep(with_class_weight(ev.drop(EVENT_KEY))), EVENT_FEATURES)
+    loaded = load_model(save_model(model, scratch_path(spark, "event-model")))
+    out = run_stream_scoring(
+        spark, published_events(spark, sf_dir), scratch_path(spark, "stream-model"),
+        EVENT_FEATURES, loaded, passthrough=["label"],
+    )
+    return out.sink.select(EVENT_KEY, "kind", F.round("probability", 6).alias("probability"), "prediction")
+
+
 __all__ = ["QUERIES", "TXN_KEY", "TXN_SCORER", "EVENT_SCORER"]

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"fit_quality", "model_roundtrip", "training_summary"}
+ROWS_ONLY = {"fit_quality", "model_roundtrip", "training_summary", "stream_model_scored"}
 FAST = [
     "clean_transactions", "clean_counts", "class_profile", "class_weights", "sample_fraction",
     "train_test_counts", "score_closed_form", "confusion_matrix", "sample_predictions",
