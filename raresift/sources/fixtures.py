@@ -49,17 +49,22 @@ def transactions(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataF
     return base.unionByName(base.filter(F.col("V1") == F.lit(DUPLICATED_QUANTITY)))
 
 
+def _epoch_micros(col: str):
+    """Microseconds since 1970-01-01 of a zone-less timestamp, whatever the session zone."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})")
+
+
 def event_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture E: ``__id``, the four numeric features and the 0/1 ``label``.
 
-    ``Time`` is epoch seconds of ``ts`` (read as UTC), ``V1`` the user,
+    ``Time`` is epoch seconds of ``ts`` (zone-less, so read as UTC), ``V1`` the user,
     ``V2`` the ``k`` entry of the JSON ``props`` and ``Amount`` the value;
     ``label`` marks error events.
     """
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("event_id").alias(EVENT_KEY),
-        (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("Time"),
+        (_epoch_micros("ts") / F.lit(1e6)).alias("Time"),
         F.col("user_id").cast("double").alias("V1"),
         F.get_json_object("props", "$.k").try_cast("double").alias("V2"),
         F.col("value").alias("Amount"),

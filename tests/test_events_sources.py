@@ -71,3 +71,14 @@ def test_sentinel_message_counts_data(spark):
     ev = fx.event_features(spark, SF_SMALL)
     text = sentinel_message(encode_messages(ev, fx.EVENT_KEY)).first()["value"]
     assert text == '{"__sentinel":"DONE","total_published":1000}'
+
+
+def test_event_time_ignores_session_zone(spark):
+    utc = {r[0]: r[1] for r in fx.event_features(spark, SF_SMALL).select(fx.EVENT_KEY, "Time").collect()}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = {r[0]: r[1] for r in fx.event_features(spark, SF_SMALL).select(fx.EVENT_KEY, "Time").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc == other
