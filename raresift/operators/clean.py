@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from raresift.functions.expressions import SEED, hash_fraction, hash_key
 from raresift.functions.schema import LABEL, TARGET
@@ -52,3 +53,26 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 def clean_table(df: DataFrame, target: str = TARGET, label: str = LABEL) -> DataFrame:
     """Drop incomplete rows, then duplicates, then rename the target (PRJ1)."""
     return drop_duplicate_rows(drop_incomplete(df)).withColumnRenamed(target, label)
+
+
+COPIES = "_copies"
+
+
+def tally_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows with their number of copies, nulls and NaN included.
+
+    The same map-side-combined aggregate as :func:`drop_duplicate_rows`,
+    plus a count: the sum of ``_copies`` is the input row count, so a job
+    that needs "rows before cleaning" gets it without a second input scan.
+    """
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def clean_tally(tally: DataFrame, target: str = TARGET, label: str = LABEL) -> DataFrame:
+    """The cleaned table from a tally: complete groups, one row each, renamed.
+
+    Equal to :func:`clean_table` on the tallied input (dropping incomplete
+    rows before or after de-duplication keeps the same distinct rows).
+    """
+    cols = [c for c in tally.columns if c != COPIES]
+    return drop_incomplete(tally.select(*cols), subset=cols).withColumnRenamed(target, label)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from raresift.functions.expressions import DECISION_THRESHOLD, MAX_ITER, SEED, TRAIN_FRACTION, hash_key
 from raresift.functions.schema import LABEL, TARGET, WEIGHT, feature_columns
-from raresift.operators.clean import clean_table, sample_rows
+from raresift.operators.clean import COPIES, clean_tally, sample_rows, tally_rows
 from raresift.operators.evaluate import confusion_matrix, evaluator_areas, sample_predictions
 from raresift.operators.model import fit_classifier, save_model, score
 from raresift.operators.persist import keep, materialize
@@ -59,11 +59,13 @@ def run_training(
     """
     key = list(key or [])
     working = sample_rows(raw, sample_fraction, seed, key=key or None)
-    rows_before = working.agg(F.count(F.lit(1))).scalar()
-
-    # Cleaned table written once to the shared checkpoint folder: every later
-    # step (weights, profile, split, fit, metrics) re-reads it, not the source.
-    clean = materialize(clean_table(working, target, LABEL), "clean")
+    # One pass over the input: distinct rows with their copy counts are
+    # written once to the shared checkpoint folder.  The row count before
+    # cleaning is the sum of copies, and every later step (weights, profile,
+    # split, fit, metrics) re-reads this table, never the source.
+    tally = materialize(tally_rows(working), "tally")
+    rows_before = tally.agg(F.sum(COPIES)).scalar()
+    clean = clean_tally(tally, target, LABEL)
     weighted = with_class_weight(clean, LABEL, WEIGHT)
     profile = class_profile(spark, weighted, view)
 

@@ -78,3 +78,15 @@ def test_class_profile_sql(spark):
 def test_feature_list_excludes_label_weight_and_key(spark):
     clean = with_class_weight(clean_table(transactions(spark, SF_SMALL)))
     assert feature_columns(clean, extra_exclude=[TXN_KEY]) == ["Time", "V1", "V2", "V3", "Amount"]
+
+
+def test_tally_cleaning_equals_clean_table(spark):
+    from raresift.operators.clean import COPIES, clean_tally, tally_rows
+
+    raw = transactions(spark, SF_MID)
+    tally = tally_rows(raw)
+    assert tally.agg(F.sum(COPIES)).first()[0] == 61205
+    a = clean_table(raw)
+    b = clean_tally(tally)
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
