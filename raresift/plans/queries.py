@@ -152,7 +152,9 @@ def fitted_fixture(spark: SparkSession, sf_dir: str):
     weighted = with_class_weight(clean_fixture(spark, sf_dir))
     train, test = train_test_split(weighted, TXN_KEY)
     features = feature_columns(weighted, exclude=(LABEL, WEIGHT), extra_exclude=[TXN_KEY])
-    model = fit_classifier(keep(train), features)
+    kept = keep(train)
+    model = fit_classifier(kept, features)
+    kept.unpersist()
     return model, features, train, test
 
 
@@ -170,6 +172,7 @@ def q_fit_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _, train, test = fitted_fixture(spark, sf_dir)
     predictions = keep(score(model, test))
     roc, pr = evaluator_areas(predictions, num_bins=0)
+    predictions.unpersist()
     exact = binary_areas(predictions, "p_positive", LABEL)
     counts = train.agg(F.count(F.lit(1))).scalar()
     return exact.select(
@@ -303,8 +306,9 @@ def q_published_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_model_scored")
 def q_stream_model_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream scored by a saved MLlib pipeline fitted on the event table (ML6, SRC7)."""
-    ev = event_features(spark, sf_dir)
-    model = fit_classifier(keep(with_class_weight(ev.drop(EVENT_KEY))), EVENT_FEATURES)
+    ev = keep(with_class_weight(event_features(spark, sf_dir).drop(EVENT_KEY)))
+    model = fit_classifier(ev, EVENT_FEATURES)
+    ev.unpersist()
     loaded = load_model(save_model(model, scratch_path(spark, "event-model")))
     out = run_stream_scoring(
         spark, published_events(spark, sf_dir), scratch_path(spark, "stream-model"),

@@ -118,4 +118,6 @@ def run_training(
         out = output_dir.rstrip("/")
         write_sample_csv(sample, f"{out}/sample_predictions")
         write_document(summary, f"{out}/summary")
+    # The returned frames stay valid (recomputed from the tally on use).
+    predictions.unpersist()
     return TrainingResult(model, features, summary, predictions, roc, pr)
