@@ -42,28 +42,32 @@ KINDS = ("ok", "invalid", "bad", "sentinel")
 def with_input_position(df: DataFrame, name: str = ID) -> DataFrame:
     """0-based position of each row in its input files (PRJ7) without a global sort.
 
-    Rows are ordered by (file, byte offset of the split, position inside
-    the split).  Only one small table is built — rows per input split,
-    bounded by the number of splits — and its running offsets are joined
-    back with a broadcast; the data itself is never shuffled or sorted.
+    Rows are ordered by (file path, byte offset of the split, position in
+    the split).  Only one small table is built — one row per input split,
+    with the running row offset of the split — and joined back on a compact
+    (path hash, split offset) key.  The data itself is never sorted.  The
+    join is left to adaptive execution: the offsets table is broadcast when
+    its measured size is under the broadcast threshold (the usual case: a few
+    dozen bytes per split), otherwise both sides are shuffled by split,
+    which keeps tasks balanced.
     """
     tagged = df.select(
         "*",
-        F.col("_metadata.file_path").alias("_pos_file"),
+        F.col("_metadata.file_path").alias("_pos_path"),
         F.col("_metadata.file_block_start").alias("_pos_block"),
         F.monotonically_increasing_id().alias("_pos_mono"),
-    )
-    splits = tagged.groupBy("_pos_file", "_pos_block").agg(
+    ).withColumn("_pos_file", F.xxhash64("_pos_path"))
+    splits = tagged.groupBy("_pos_file", "_pos_path", "_pos_block").agg(
         F.count(F.lit(1)).alias("_pos_rows"), F.min("_pos_mono").alias("_pos_first")
     )
-    before = Window.orderBy("_pos_file", "_pos_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_pos_path", "_pos_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "_pos_file",
         "_pos_block",
         "_pos_first",
         F.coalesce(F.sum("_pos_rows").over(before), F.lit(0)).alias("_pos_offset"),
     )
-    return tagged.join(F.broadcast(offsets), ["_pos_file", "_pos_block"]).select(
+    return tagged.join(offsets, ["_pos_file", "_pos_block"]).select(
         *df.columns,
         (F.col("_pos_offset") + F.col("_pos_mono") - F.col("_pos_first")).alias(name),
     )
