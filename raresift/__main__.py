@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--max-runtime-seconds", type=float, default=600.0)
     s.add_argument("--max-files-per-trigger", type=int, default=1)
     s.add_argument("--dedupe-delay", default=None, help="e.g. '10 minutes' to drop redeliveries by __id")
+    s.add_argument("--live", action="store_true", help="1-second micro-batches until the sentinel and drain")
     return p
 
 
@@ -94,6 +95,7 @@ def main(argv: list[str] | None = None) -> int:
                 max_runtime_seconds=args.max_runtime_seconds,
                 report_path=args.report_path,
                 dedupe_delay=args.dedupe_delay,
+                live=args.live,
             )
             print(json.dumps(out.report.drop("frauds").first().asDict(recursive=True), default=str))
     finally:

@@ -22,6 +22,7 @@ from raresift.streaming.scorer import (
     dedupe_deliveries,
     message_stream,
     run_bounded,
+    run_until_drained,
     score_messages,
     start_sink,
 )
@@ -52,20 +53,29 @@ def run_stream_scoring(
     max_runtime_seconds: float = 600.0,
     report_path: str | None = None,
     dedupe_delay: str | None = None,
+    live: bool = False,
+    processing_time: str = "1 second",
 ) -> ScoringOutput:
     """Score every message under ``source_dir`` into ``work_dir/sink``.
 
     With ``dedupe_delay`` redelivered ids are collapsed before the sink
     (DUP3); without it every delivery is kept, which is what the report's
-    raw counters describe.
+    raw counters describe.  ``live`` runs a processing-time trigger until
+    the sentinel has been seen and the source is drained (or the cap);
+    otherwise the run drains what is there (``availableNow``) and stops.
     """
     work = work_dir.rstrip("/")
     stream = score_messages(message_stream(spark, source_dir, max_files_per_trigger), feature_cols, scorer, passthrough)
     if dedupe_delay:
         stream = dedupe_deliveries(stream, dedupe_delay)
     sink_path = f"{work}/sink"
-    query = start_sink(stream, sink_path, f"{work}/checkpoint", available_now=True)
-    run = run_bounded(query, sink_path, max_runtime_seconds)
+    query = start_sink(
+        stream, sink_path, f"{work}/checkpoint", available_now=not live, processing_time=processing_time
+    )
+    if live:
+        run = run_until_drained(spark, query, sink_path, max_runtime_seconds)
+    else:
+        run = run_bounded(query, sink_path, max_runtime_seconds)
     sink = spark.read.parquet(sink_path)
     report = stream_report(sink, feature_cols, run.elapsed_seconds)
     if report_path:

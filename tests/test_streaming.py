@@ -94,3 +94,14 @@ def test_restart_resumes_from_checkpoint(spark):
     once()
     second = spark.read.parquet(f"{work}/sink").count()
     assert first == 1000 and second == 1000 + len(fx.REDELIVERED_IDS)
+
+
+def test_live_run_stops_after_sentinel_and_drain(spark):
+    out = run_stream_scoring(
+        spark, published_events(spark, SF_SMALL), scratch_path(spark, "stream-live-drain"),
+        fx.EVENT_FEATURES, EVENT_SCORER, ["label"], live=True, max_runtime_seconds=120,
+    )
+    rep = out.report.first()
+    assert out.run.finished
+    assert rep["total_messages_seen"] == 1000 + len(fx.REDELIVERED_IDS)
+    assert rep["sentinel_total_published"] == 1000
