@@ -66,12 +66,6 @@ def parse_double(c: str | Column) -> Column:
     return _as_col(c).cast("string").try_cast("double")
 
 
-def is_finite(c: str | Column) -> Column:
-    """Not null, not NaN, not infinite."""
-    x = _as_col(c)
-    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-
-
 def alert_text(time_col: str | Column = "Time", amount_col: str | Column = "Amount") -> Column:
     """Live notice for one flagged row (SNK6, FN7)."""
     return F.format_string(ALERT_FORMAT, _as_col(time_col), _as_col(amount_col))

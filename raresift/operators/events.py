@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from raresift.functions.expressions import parse_double
+from raresift.functions.schema import feature_schema
 
 ID = "__id"
 SENTINEL_FIELD = "__sentinel"
@@ -125,10 +126,12 @@ def decode_messages(
     """Parse and route every message (SRC5, FLT4, FLT5, FLT6, FN4, FN5, FN8).
 
     Output columns: ``keep`` (e.g. arrival metadata), ``__id``, ``kind``,
-    ``reason``, the features as doubles, ``passthrough`` fields as text,
-    ``total_published`` (sentinel only) and the original ``value``.
-    Works unchanged on a streaming DataFrame.
+    ``reason``, the features typed by :func:`feature_schema` (nullable
+    doubles), ``passthrough`` fields as text, ``total_published`` (sentinel
+    only) and the original ``value``.  Works unchanged on a streaming
+    DataFrame.
     """
+    typed = feature_schema(feature_cols)
     schema = message_schema(feature_cols, passthrough)
     parsed = messages.select(
         *keep,
@@ -154,7 +157,7 @@ def decode_messages(
         F.col(f"_m.{ID}").try_cast("long").alias(ID),
         kind.alias("kind"),
         reason.alias("reason"),
-        *[parse_double(F.col(f"_m.{c}")).alias(c) for c in feature_cols],
+        *[parse_double(F.col(f"_m.{f.name}")).cast(f.dataType).alias(f.name) for f in typed.fields],
         *[F.col(f"_m.{c}").alias(c) for c in passthrough],
         F.when(is_sentinel, F.coalesce(F.col(f"_m.{TOTAL_FIELD}").try_cast("long"), F.lit(0)))
         .cast("long")

@@ -82,3 +82,13 @@ def test_event_time_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert utc == other
+
+
+def test_decoded_features_follow_the_declared_schema(spark):
+    from raresift.functions.schema import card_feature_names, feature_schema
+
+    names = card_feature_names()
+    assert names[0] == "Time" and names[-1] == "Amount" and len(names) == 30
+    df = spark.createDataFrame([('{"Time": "1", "__id": 1}',)], "value string")
+    out = decode_messages(df, names)
+    assert out.select(*names).schema == feature_schema(names)

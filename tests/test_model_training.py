@@ -99,3 +99,23 @@ def test_training_with_one_class_test_split(spark):
     raw = transactions(spark, SF_SMALL)
     result = run_training(spark, raw, key=[TXN_KEY], sample_fraction=0.5)
     assert result.summary.count() == 1
+
+
+def test_fit_on_natural_labels(spark):
+    """Unseparated documents: the fit runs, weights follow the class ratio."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    table = labels.join(docs, "doc_id").select(
+        F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split("text", r"\s+")).cast("double").alias("words"),
+        F.col("toxic").alias("label"),
+    )
+    weighted = with_class_weight(table)
+    counts = table.groupBy("label").count().collect()
+    c = {r["label"]: r["count"] for r in counts}
+    assert c[1] == 51 and c[0] + c[1] == 399
+    w = weighted.filter("label = 1").first()["weight"]
+    assert w == pytest.approx((c[0] / c[1]) ** 0.5)
+    model = fit_classifier(weighted, ["n_chars", "words"])
+    row = binary_areas(score(model, weighted), "p_positive", LABEL).first()
+    assert 0.0 <= row["auc_roc"] <= 1.0 and row["positives"] == 51
