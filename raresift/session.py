@@ -55,7 +55,11 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # Spark Connect: no context on the client side
+        master = spark.conf.get("spark.master", "") or ""
+    return master.startswith("local")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -75,8 +79,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             )
         base = tempfile.mkdtemp(prefix="raresift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(base)
+    except Exception:  # Spark Connect: the server owns the context
+        pass
     return base.rstrip("/")
 
 
