@@ -163,6 +163,14 @@ class StreamRun:
     finished: bool
     batches: int
     input_rows: int
+    batch_ms: list[int]  # read-score-commit time of each non-empty micro-batch
+
+
+def _summarise(query: StreamingQuery, sink_path: str, started: float, finished: bool) -> StreamRun:
+    progress = [p for p in query.recentProgress if int(p.get("numInputRows", 0)) > 0]
+    batch_ms = [int(p.get("durationMs", {}).get("triggerExecution", 0)) for p in progress]
+    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
+    return StreamRun(sink_path, time.time() - started, finished, len(progress), rows, batch_ms)
 
 
 def run_bounded(query: StreamingQuery, sink_path: str, max_runtime_seconds: float = 600.0) -> StreamRun:
@@ -178,10 +186,7 @@ def run_bounded(query: StreamingQuery, sink_path: str, max_runtime_seconds: floa
     finally:
         if query.isActive:
             query.stop()
-    progress = query.recentProgress
-    batches = sum(1 for p in progress if p.get("numInputRows", 0) > 0)
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    return StreamRun(sink_path, time.time() - started, finished, batches, rows)
+    return _summarise(query, sink_path, started, finished)
 
 
 def _sentinel_seen(spark: SparkSession, sink_path: str) -> bool:
@@ -221,7 +226,4 @@ def run_until_drained(
     finally:
         if query.isActive:
             query.stop()
-    progress = query.recentProgress
-    batches = sum(1 for p in progress if p.get("numInputRows", 0) > 0)
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    return StreamRun(sink_path, time.time() - started, finished, batches, rows)
+    return _summarise(query, sink_path, started, finished)
