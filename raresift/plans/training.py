@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from raresift.functions.expressions import DECISION_THRESHOLD, MAX_ITER, SEED, TRAIN_FRACTION, hash_key
 from raresift.functions.schema import LABEL, TARGET, WEIGHT, feature_columns
 from raresift.operators.clean import COPIES, clean_tally, sample_rows, tally_rows
-from raresift.operators.evaluate import confusion_matrix, evaluator_areas, sample_predictions
+from raresift.operators.evaluate import binary_areas, confusion_matrix, evaluator_areas, sample_predictions
 from raresift.operators.model import fit_classifier, save_model, score
 from raresift.operators.persist import keep, materialize
 from raresift.operators.profile import class_profile, with_class_weight
@@ -25,6 +25,10 @@ from raresift.operators.split import SPLIT, with_split
 from raresift.sinks.writers import write_document, write_sample_csv
 
 
+def _round4(x: float | None) -> float | None:
+    return None if x is None else round(float(x), 4)
+
+
 @dataclass
 class TrainingResult:
     model: PipelineModel
@@ -85,6 +89,9 @@ def run_training(
 
     predictions = keep(score(model, test))
     roc, pr = evaluator_areas(predictions, num_bins=num_bins)
+    # MLlib's binned areas group the sorted scores per partition, so they can
+    # move with the cluster layout; the exact areas sit next to them.
+    exact = binary_areas(predictions, "p_positive", LABEL).first()
     confusion = confusion_matrix(predictions)
     order_key = "_sample_key"
     sample = sample_predictions(predictions.withColumn(order_key, split_key), order_key, 50)
@@ -111,6 +118,8 @@ def run_training(
         F.lit(float(decision_threshold)).alias("decision_threshold"),
         F.lit(round(roc, 4)).alias("area_under_roc"),
         F.lit(round(pr, 4)).alias("area_under_pr"),
+        F.lit(_round4(exact["auc_roc"])).cast("double").alias("exact_area_under_roc"),
+        F.lit(_round4(exact["auc_pr"])).cast("double").alias("exact_area_under_pr"),
         profile_rows.alias("sql_summary"),
         confusion_rows.alias("confusion_matrix"),
     )
