@@ -81,11 +81,12 @@ def _score_columns(decoded: DataFrame, scorer, feature_cols: Sequence[str]) -> D
         )
     if isinstance(scorer, PipelineModel):
         # Rejected rows still flow through the model (their vectors get
-        # NaN instead of raising); their outputs are masked below.
-        for stage in scorer.stages:
-            if isinstance(stage, VectorAssembler):
-                stage.setHandleInvalid("keep")
-        scored = scorer.transform(decoded)
+        # NaN instead of raising); their outputs are masked below.  The
+        # caller's model is left as it is: a copy of the assembler is used.
+        stages = [
+            s.copy().setHandleInvalid("keep") if isinstance(s, VectorAssembler) else s for s in scorer.stages
+        ]
+        scored = PipelineModel(stages).transform(decoded)
         return scored.select(
             *decoded.columns,
             F.when(ok, vector_to_array(F.col("probability"))[1]).alias("probability"),
