@@ -8,6 +8,7 @@ and re-derives the same fixtures with the same rules as
 from __future__ import annotations
 
 from raresift.functions.expressions import SEED, TRAIN_FRACTION, hash_cut_hex
+from raresift.plans.queries import EVENT_SCORER, SAMPLE_FRACTION, TXN_SCORER
 
 # Fixture T (transactions) with its injected faults, and its cleaned form.
 T_RAW = """
@@ -93,8 +94,7 @@ FROM t_clean
 GROUP BY label
 """
 
-# Fixed value: fraction of the sampling query (same as the Spark query).
-_SAMPLE_CUT = hash_cut_hex(0.3)
+_SAMPLE_CUT = hash_cut_hex(SAMPLE_FRACTION)
 
 ORACLE["sample_fraction"] = _with(T_RAW) + f"""
 SELECT * FROM t_raw
@@ -109,8 +109,6 @@ GROUP BY ALL
 
 
 def _txn_scored() -> str:
-    from raresift.plans.queries import TXN_SCORER
-
     return T_SPLIT + f""",
 t_scored AS (
     SELECT *, {TXN_SCORER.sql_probability()} AS probability
@@ -189,7 +187,6 @@ UNION ALL SELECT 'Amount', round(stddev_samp(Amount), 6) FROM tr
 
 # Fixture E and its message stream (same fault ids as the Spark fixture).
 def _event_ctes() -> str:
-    from raresift.plans.queries import EVENT_SCORER
     from raresift.sources.fixtures import (
         BAD_IDS,
         JSON_NULL_ID,
