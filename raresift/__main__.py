@@ -27,6 +27,8 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--model-output-dir", default=None)
     t.add_argument("--key", action="append", default=[], help="row-identity column (not a feature); repeatable")
     t.add_argument("--target", default="Class")
+    t.add_argument("--schema", default=None, help="DDL of the CSV columns; skips the inference pass")
+    t.add_argument("--sampling-ratio", type=float, default=None, help="fraction of rows read to infer types")
 
     pub = sub.add_parser("publish", help="encode a headed CSV as JSON messages plus a sentinel")
     pub.add_argument("--csv-path", required=True)
@@ -55,7 +57,10 @@ def main(argv: list[str] | None = None) -> int:
             from raresift.sources.tables import read_csv_table, read_parquet_table
 
             path = args.data_path
-            raw = read_parquet_table(spark, path) if path.rstrip("/").endswith(".parquet") else read_csv_table(spark, path)
+            if path.rstrip("/").endswith(".parquet"):
+                raw = read_parquet_table(spark, path)
+            else:
+                raw = read_csv_table(spark, path, schema=args.schema, sampling_ratio=args.sampling_ratio)
             result = run_training(
                 spark,
                 raw,

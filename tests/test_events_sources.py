@@ -92,3 +92,16 @@ def test_decoded_features_follow_the_declared_schema(spark):
     df = spark.createDataFrame([('{"Time": "1", "__id": 1}',)], "value string")
     out = decode_messages(df, names)
     assert out.select(*names).schema == feature_schema(names)
+
+
+def test_csv_with_declared_schema_and_sampled_inference(spark):
+    ev = fx.event_features(spark, SF_SMALL)
+    path = scratch_path(spark, "csv-schema")
+    ev.write.option("header", True).csv(path)
+    ddl = "__id bigint, Time double, V1 double, V2 double, Amount double, label int"
+    typed = read_csv_table(spark, path, schema=ddl)
+    assert dict(typed.dtypes) == {"__id": "bigint", "Time": "double", "V1": "double", "V2": "double",
+                                  "Amount": "double", "label": "int"}
+    sampled = read_csv_table(spark, path, sampling_ratio=0.5)
+    assert dict(sampled.dtypes)["Amount"] == "double"
+    assert typed.count() == ev.count()
