@@ -84,16 +84,20 @@ def evaluator_areas(
     label: str = LABEL,
     raw_prediction: str = "rawPrediction",
     num_bins: int = 1000,
+    class_counts: tuple[int, int] | None = None,
 ) -> tuple[float, float]:
     """(AUC-ROC, AUC-PR) from MLlib's evaluator, as the training job reports them.
 
     The evaluator fails on a set with one class only; that case gives NaN
-    areas instead (checked with one bounded count first).
+    areas instead.  ``class_counts`` (positives, negatives), when the caller
+    already has them, saves the bounded counting pass.
     """
-    counts = predictions.agg(
-        F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")
-    ).first()
-    if not counts["p"] or not counts["n"]:
+    if class_counts is None:
+        row = predictions.agg(
+            F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")
+        ).first()
+        class_counts = (row["p"], row["n"])
+    if not class_counts[0] or not class_counts[1]:
         return float("nan"), float("nan")
     roc = BinaryClassificationEvaluator(
         labelCol=label, rawPredictionCol=raw_prediction, metricName="areaUnderROC", numBins=num_bins

@@ -88,10 +88,12 @@ def run_training(
         save_model(model, model_output_dir)
 
     predictions = keep(score(model, test))
-    roc, pr = evaluator_areas(predictions, num_bins=num_bins)
     # MLlib's binned areas group the sorted scores per partition, so they can
     # move with the cluster layout; the exact areas sit next to them.
     exact = binary_areas(predictions, "p_positive", LABEL).first()
+    roc, pr = evaluator_areas(
+        predictions, num_bins=num_bins, class_counts=(exact["positives"], exact["negatives"])
+    )
     confusion = confusion_matrix(predictions)
     order_key = "_sample_key"
     sample = sample_predictions(predictions.withColumn(order_key, split_key), order_key, 50)
