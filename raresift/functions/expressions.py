@@ -29,9 +29,15 @@ def _as_col(c: str | Column) -> Column:
 
 
 def hash_key(cols: Sequence[str | Column]) -> Column:
-    """Text key of one or more columns (``-`` separated, nulls kept as '')."""
+    """Text key of one or more columns, ``-`` separated.
+
+    With several columns a null becomes the marker ``<null>`` so that
+    ``(a, null, b)`` and ``(a, b, null)`` stay different keys.
+    """
     parts = [_as_col(c).cast("string") for c in cols]
-    return parts[0] if len(parts) == 1 else F.concat_ws("-", *parts)
+    if len(parts) == 1:
+        return parts[0]
+    return F.concat_ws("-", *[F.coalesce(p, F.lit("<null>")) for p in parts])
 
 
 def hash_fraction(key: str | Column, fraction: float, seed: int = SEED) -> Column:

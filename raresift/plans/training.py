@@ -62,7 +62,9 @@ def run_training(
     unique after de-duplication.
     """
     key = list(key or [])
-    working = sample_rows(raw, sample_fraction, seed, key=key or None)
+    # Hash sample on the key (or on the whole row): reproducible on any
+    # layout, and copies of a row are kept or dropped together.
+    working = sample_rows(raw, sample_fraction, seed, key=key or list(raw.columns))
     # One pass over the input: distinct rows with their copy counts are
     # written once to the shared checkpoint folder.  The row count before
     # cleaning is the sum of copies, and every later step (weights, profile,
