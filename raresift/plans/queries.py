@@ -6,6 +6,7 @@ operators; none collects rows to the driver beyond bounded one-row values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,9 +79,14 @@ def q_clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _view(prefix: str) -> str:
+    """A temp-view name of its own, so queries sharing a session never clash."""
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
 @register("class_profile")
 def q_class_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return class_profile(spark, clean_fixture(spark, sf_dir))
+    return class_profile(spark, clean_fixture(spark, sf_dir), view=_view("transactions"))
 
 
 @register("class_weights")
@@ -203,6 +209,7 @@ def q_training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         dataset_path=f"{sf_dir}/lineitem.parquet",
         output_dir=scratch_path(spark, "training"),
         key=[TXN_KEY],
+        view=_view("transactions"),
     )
     return result.summary
 
@@ -289,7 +296,7 @@ def q_csv_class_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "transactions-csv")
     transactions(spark, sf_dir).write.option("header", True).csv(path)
     raw = read_csv_table(spark, path, infer_schema=True)
-    return class_profile(spark, clean_table(raw), view="transactions_csv")
+    return class_profile(spark, clean_table(raw), view=_view("transactions_csv"))
 
 
 @register("published_positions")
