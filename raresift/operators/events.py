@@ -27,11 +27,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from raresift.functions.expressions import parse_double
 from raresift.functions.schema import feature_schema
 
+# Field names of the message format and the end-of-stream marker.
 ID = "__id"
 SENTINEL_FIELD = "__sentinel"
 TOTAL_FIELD = "total_published"
-# Fixed value: marker of the end-of-stream control message.
 SENTINEL_VALUE = "DONE"
+
 CORRUPT = "_corrupt"
 KINDS = ("ok", "invalid", "bad", "sentinel")
 
