@@ -25,6 +25,7 @@ from raresift.streaming.scorer import (
     run_until_drained,
     score_messages,
     start_sink,
+    with_kind_metrics,
 )
 
 
@@ -68,6 +69,7 @@ def run_stream_scoring(
     stream = score_messages(message_stream(spark, source_dir, max_files_per_trigger), feature_cols, scorer, passthrough)
     if dedupe_delay:
         stream = dedupe_deliveries(stream, dedupe_delay)
+    stream = with_kind_metrics(stream)
     sink_path = f"{work}/sink"
     query = start_sink(
         stream, sink_path, f"{work}/checkpoint", available_now=not live, processing_time=processing_time

@@ -190,12 +190,31 @@ def run_bounded(query: StreamingQuery, sink_path: str, max_runtime_seconds: floa
     return _summarise(query, sink_path, started, finished)
 
 
-def _sentinel_seen(spark: SparkSession, sink_path: str) -> bool:
+KIND_METRICS = "raresift_kinds"
+
+
+def with_kind_metrics(scored: DataFrame) -> DataFrame:
+    """Attach per-batch counts of sentinels and rows to the query's progress.
+
+    The counts travel with each micro-batch's progress report
+    (``observedMetrics``), so the driver can follow the stream without
+    scanning the sink.
+    """
+    return scored.observe(
+        KIND_METRICS,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("kind") == "sentinel").alias("sentinels"),
+    )
+
+
+def _batch_sentinels(progress) -> int:
+    metrics = (progress.get("observedMetrics") or {}).get(KIND_METRICS)
+    if not metrics:
+        return 0
     try:
-        sink = spark.read.parquet(sink_path)
-    except Exception:  # nothing committed yet
-        return False
-    return sink.filter(F.col("kind") == "sentinel").limit(1).count() > 0
+        return int(metrics["sentinels"])
+    except (KeyError, TypeError, ValueError):
+        return 0
 
 
 def run_until_drained(
@@ -211,17 +230,25 @@ def run_until_drained(
     buffer is empty"): after a committed batch holds the sentinel, the query
     stops at the first later batch that brings no new rows.  Messages that
     arrive after the sentinel but before the drain are still scored.  The
-    run-time cap applies as in :func:`run_bounded` (STR4, STR5, STR7).
+    sentinel is seen through the observed metrics of each batch's progress
+    (:func:`with_kind_metrics`), never by scanning the sink.  The run-time
+    cap applies as in :func:`run_bounded` (STR4, STR5, STR7).
     """
     started = time.time()
     finished = False
+    seen_batches: set[int] = set()
+    sentinels = 0
     try:
         while query.isActive and time.time() - started < max_runtime_seconds:
             if query.awaitTermination(poll_seconds):
                 finished = True
                 break
+            for p in query.recentProgress:
+                if p["batchId"] not in seen_batches:
+                    seen_batches.add(p["batchId"])
+                    sentinels += _batch_sentinels(p)
             last = query.lastProgress
-            if last and int(last.get("numInputRows", 0)) == 0 and _sentinel_seen(spark, sink_path):
+            if sentinels and last and int(last.get("numInputRows", 0)) == 0:
                 finished = True
                 break
     finally:

@@ -105,3 +105,14 @@ def test_live_run_stops_after_sentinel_and_drain(spark):
     assert out.run.finished
     assert rep["total_messages_seen"] == 1000 + len(fx.REDELIVERED_IDS)
     assert rep["sentinel_total_published"] == 1000
+
+
+def test_fit_after_an_observed_stream(spark):
+    """Observed stream metrics must not break later MLlib jobs in the session."""
+    run_stream_scoring(
+        spark, published_events(spark, SF_SMALL), scratch_path(spark, "stream-then-fit"),
+        fx.EVENT_FEATURES, EVENT_SCORER, ["label"],
+    )
+    ev = fx.event_features(spark, SF_SMALL)
+    model = fit_classifier(with_class_weight(ev.drop(fx.EVENT_KEY)), fx.EVENT_FEATURES, label="label")
+    assert score(model, ev).count() == ev.count()
