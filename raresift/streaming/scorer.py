@@ -159,6 +159,10 @@ def start_sink(
 
 @dataclass
 class StreamRun:
+    """Outcome of one run.  Batch figures come from the query's recent
+    progress reports (Spark keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates``, 100 by default)."""
+
     sink_path: str
     elapsed_seconds: float
     finished: bool
