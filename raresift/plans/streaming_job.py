@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from raresift.functions.scoring import LinearScorer
 from raresift.sinks.writers import write_document, write_messages
@@ -36,6 +38,14 @@ def publish(deliveries: Sequence[DataFrame], source_dir: str) -> str:
     return source_dir
 
 
+def read_sink(spark: SparkSession, sink_path: str, schema: StructType) -> DataFrame:
+    """The committed sink, or an empty frame of the stream's schema if no batch committed."""
+    try:
+        return spark.read.schema(schema).parquet(sink_path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 @dataclass
 class ScoringOutput:
     run: StreamRun
@@ -78,7 +88,7 @@ def run_stream_scoring(
         run = run_until_drained(spark, query, sink_path, max_runtime_seconds)
     else:
         run = run_bounded(query, sink_path, max_runtime_seconds)
-    sink = spark.read.parquet(sink_path)
+    sink = read_sink(spark, sink_path, stream.schema)
     report = stream_report(sink, feature_cols, run.elapsed_seconds)
     if report_path:
         write_document(report, report_path)

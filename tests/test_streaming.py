@@ -116,3 +116,14 @@ def test_fit_after_an_observed_stream(spark):
     ev = fx.event_features(spark, SF_SMALL)
     model = fit_classifier(with_class_weight(ev.drop(fx.EVENT_KEY)), fx.EVENT_FEATURES, label="label")
     assert score(model, ev).count() == ev.count()
+
+
+def test_empty_source_gives_an_empty_report(spark):
+    ev = fx.event_features(spark, SF_SMALL).limit(0)
+    from raresift.operators.events import encode_messages
+
+    src = publish([encode_messages(ev, fx.EVENT_KEY)], scratch_path(spark, "messages-empty"))
+    out = run_stream_scoring(spark, src, scratch_path(spark, "stream-empty"), fx.EVENT_FEATURES, EVENT_SCORER)
+    rep = out.report.first()
+    assert rep["total_messages_seen"] == 0 and rep["frauds"] == [] and rep["complete"] is False
+    assert rep["sentinel_total_published"] is None
