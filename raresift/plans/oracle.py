@@ -306,3 +306,8 @@ SELECT CAST(row_number() OVER (ORDER BY __id) - 1 AS BIGINT) AS __id, 'ok' AS ki
        "Time", V1, V2, Amount, label
 FROM e
 """
+
+ORACLE["stream_alerts"] = "WITH " + _event_ctes().strip() + """
+SELECT __id, printf('FRAUD FLAGGED: time=%.1f amount=%.2f', "Time", Amount) AS alert
+FROM pred WHERE prediction = 1.0
+"""

@@ -284,6 +284,13 @@ def q_unique_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unique_by(frauds, "Time", "pos").select("Time", "Amount", "prediction")
 
 
+@register("stream_alerts")
+def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live notices of the flagged deliveries, as the stream wrote them (SNK6, FN7)."""
+    sink = stream_run(spark, sf_dir).sink
+    return sink.filter(F.col("alert").isNotNull()).select(EVENT_KEY, "alert")
+
+
 @register("stream_dedup")
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = stream_run(spark, sf_dir, dedupe_delay="10 minutes").sink
