@@ -77,3 +77,20 @@ def running_totals(
         *df.columns,
         *[(F.col(f"_off_{c}") + F.sum(c).over(inside)).alias(f"{prefix}{c}") for c in sum_cols],
     )
+
+
+def global_position(
+    df: DataFrame,
+    order_col: str,
+    name: str = "position",
+    num_buckets: int | None = None,
+) -> DataFrame:
+    """0-based position of each row in ``order_col`` order (PRJ7, ordered variant).
+
+    The distributed form of ``row_number() OVER (ORDER BY order_col) - 1``:
+    a running count over quantile buckets, so no task ever sorts more than
+    one bucket.  ``order_col`` must be numeric and distinct per row.
+    """
+    counted = df.withColumn("_one", F.lit(1))
+    out = running_totals(counted, order_col, ["_one"], prefix="_cum", num_buckets=num_buckets)
+    return out.withColumn(name, F.col("_cum_one") - 1).drop("_one", "_cum_one")

@@ -311,3 +311,8 @@ ORACLE["stream_alerts"] = "WITH " + _event_ctes().strip() + """
 SELECT __id, printf('FRAUD FLAGGED: time=%.1f amount=%.2f', "Time", Amount) AS alert
 FROM pred WHERE prediction = 1.0
 """
+
+ORACLE["event_time_positions"] = """
+SELECT event_id AS __id, CAST(row_number() OVER (ORDER BY epoch_us(ts)) - 1 AS BIGINT) AS position
+FROM events
+"""

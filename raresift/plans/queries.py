@@ -16,6 +16,7 @@ from raresift.functions.expressions import SEED, alert_text
 from raresift.functions.schema import LABEL, WEIGHT, feature_columns
 from raresift.functions.scoring import LinearScorer
 from raresift.operators.clean import clean_table, sample_rows
+from raresift.operators.cumulative import global_position
 from raresift.operators.evaluate import binary_areas, confusion_matrix, evaluator_areas, sample_predictions
 from raresift.operators.events import decode_messages, encode_messages, with_input_position
 from raresift.operators.model import fit_classifier, load_model, save_model, scaler_deviations, score
@@ -214,6 +215,12 @@ def q_training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.summary
 
 
+@register("event_time_positions")
+def q_event_time_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's 0-based position in time order, computed without a global sort."""
+    return global_position(event_features(spark, sf_dir), "Time", "position").select(EVENT_KEY, "position")
+
+
 @register("encode_events")
 def q_encode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Round trip: rows -> JSON text messages -> parsed rows."""

@@ -73,3 +73,16 @@ def test_confusion_and_sample(spark):
     sample = sample_predictions(scored, TXN_KEY, 50).collect()
     assert len(sample) == 50
     assert [r[TXN_KEY] for r in sample] == sorted(r[TXN_KEY] for r in sample)
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_global_position_equals_row_number(spark, buckets):
+    from pyspark.sql import Window
+
+    from raresift.operators.cumulative import global_position
+
+    ev = event_features(spark, SF_SMALL)
+    got = {r["__id"]: r["position"] for r in global_position(ev, "Time", num_buckets=buckets).collect()}
+    w = Window.orderBy("Time")
+    want = {r["__id"]: r["p"] for r in ev.select("__id", (F.row_number().over(w) - 1).alias("p")).collect()}
+    assert got == want
