@@ -18,11 +18,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "_rs_bucket"
+# The offsets table is broadcast: one row (a bucket id and one number per
+# summed column) per bucket.  This bound keeps it far below any broadcast
+# limit (about 1M rows x a few doubles).
+MAX_BUCKETS = 1_000_000
 
 
 def default_buckets(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, 2 * parts)
+    return min(MAX_BUCKETS, max(8, 2 * parts))
 
 
 def quantile_splits(df: DataFrame, column: str, num_buckets: int) -> list[float]:
@@ -50,6 +54,8 @@ def running_totals(
     buckets balanced on raw rows are never larger in distinct keys.
     """
     num_buckets = num_buckets or default_buckets(df)
+    if not 1 <= num_buckets <= MAX_BUCKETS:
+        raise ValueError(f"num_buckets must be in [1, {MAX_BUCKETS}], got {num_buckets}")
     splits = quantile_splits(quantile_source if quantile_source is not None else df, order_col, num_buckets)
     if len(splits) > 2:
         bucketed = Bucketizer(

@@ -13,6 +13,7 @@ FAST = [
     "clean_transactions", "clean_counts", "class_profile", "class_weights", "sample_fraction",
     "train_test_counts", "score_closed_form", "confusion_matrix", "sample_predictions",
     "flagged_alerts", "auc_roc", "auc_pr", "encode_events", "decode_events", "scaler_std",
+    "event_time_positions", "published_positions", "csv_class_profile",
 ]
 
 

@@ -86,3 +86,11 @@ def test_global_position_equals_row_number(spark, buckets):
     w = Window.orderBy("Time")
     want = {r["__id"]: r["p"] for r in ev.select("__id", (F.row_number().over(w) - 1).alias("p")).collect()}
     assert got == want
+
+
+def test_bucket_count_is_bounded(spark):
+    from raresift.operators.cumulative import MAX_BUCKETS
+
+    ev = event_features(spark, SF_SMALL)
+    with pytest.raises(ValueError):
+        running_totals(ev, "Time", ["Amount"], num_buckets=MAX_BUCKETS + 1)
