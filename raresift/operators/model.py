@@ -40,6 +40,13 @@ def build_classifier(
     return Pipeline(stages=[assembler, scaler, LogisticRegression(**lr_args)])
 
 
+def fit_scaler(train: DataFrame, feature_cols: Sequence[str]) -> PipelineModel:
+    """Assembler + unit-variance scaler only (ML1, ML2): one summary pass."""
+    assembler = VectorAssembler(inputCols=list(feature_cols), outputCol=RAW_FEATURES)
+    scaler = StandardScaler(inputCol=RAW_FEATURES, outputCol=FEATURES, withMean=False, withStd=True)
+    return Pipeline(stages=[assembler, scaler]).fit(train)
+
+
 def fit_classifier(train: DataFrame, feature_cols: Sequence[str], **kw) -> PipelineModel:
     """Fit on the training rows (ML4)."""
     return build_classifier(feature_cols, **kw).fit(train)

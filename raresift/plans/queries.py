@@ -19,7 +19,7 @@ from raresift.operators.clean import clean_table, sample_rows
 from raresift.operators.cumulative import global_position
 from raresift.operators.evaluate import binary_areas, confusion_matrix, evaluator_areas, sample_predictions
 from raresift.operators.events import decode_messages, encode_messages, with_input_position
-from raresift.operators.model import fit_classifier, load_model, save_model, scaler_deviations, score
+from raresift.operators.model import fit_classifier, fit_scaler, load_model, save_model, scaler_deviations, score
 from raresift.operators.persist import keep
 from raresift.operators.profile import class_counts, class_profile, class_weights, with_class_weight
 from raresift.operators.split import split_counts, train_test_split
@@ -167,8 +167,10 @@ def fitted_fixture(spark: SparkSession, sf_dir: str):
 
 @register("scaler_std")
 def q_scaler_std(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, features, _, _ = fitted_fixture(spark, sf_dir)
-    rows = scaler_deviations(model, features)
+    weighted = with_class_weight(clean_fixture(spark, sf_dir))
+    train, _ = train_test_split(weighted, TXN_KEY)
+    features = feature_columns(weighted, exclude=(LABEL, WEIGHT), extra_exclude=[TXN_KEY])
+    rows = scaler_deviations(fit_scaler(train, features), features)
     return spark.createDataFrame(rows, "feature string, std double").select(
         "feature", F.round("std", 6).alias("std")
     )
