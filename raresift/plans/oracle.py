@@ -255,7 +255,13 @@ SELECT __id, "Time", V1, V2, Amount, label FROM e
 """
 
 ORACLE["decode_events"] = "WITH " + _event_ctes().strip() + """
-SELECT __id, kind, reason, "Time", V1, V2, Amount, total_published FROM deliveries
+SELECT __id, kind, reason,
+       CASE WHEN kind = 'ok' THEN "Time" END AS "Time",
+       CASE WHEN kind = 'ok' THEN V1 END AS V1,
+       CASE WHEN kind = 'ok' THEN V2 END AS V2,
+       CASE WHEN kind = 'ok' THEN Amount END AS Amount,
+       total_published
+FROM deliveries
 """
 
 ORACLE["stream_scored"] = "WITH " + _event_ctes().strip() + """

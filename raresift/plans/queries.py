@@ -237,7 +237,12 @@ def q_decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = event_messages(spark, sf_dir)
     deliveries = m["first"].unionByName(m["body"]).unionByName(m["redelivered"])
     decoded = decode_messages(deliveries, EVENT_FEATURES)
-    return decoded.select(EVENT_KEY, "kind", "reason", *EVENT_FEATURES, "total_published")
+    # Features of quarantined rows are not data (their text and reason are);
+    # they are shown only for rows ready to score.
+    ok = F.col("kind") == "ok"
+    return decoded.select(
+        EVENT_KEY, "kind", "reason", *[F.when(ok, F.col(c)).alias(c) for c in EVENT_FEATURES], "total_published"
+    )
 
 
 def published_events(spark: SparkSession, sf_dir: str) -> str:
