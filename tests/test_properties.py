@@ -60,3 +60,34 @@ def test_hash_fraction_is_close_and_stable(spark, seed, fraction):
     assert abs(k / n - fraction) < 0.03
     again = ev.repartition(5).filter(hash_fraction(F.col(EVENT_KEY), fraction, seed)).count()
     assert again == k
+
+
+_json_value = st.one_of(
+    st.none(), st.booleans(), st.integers(-10**6, 10**6), st.floats(allow_nan=False, allow_infinity=False),
+    st.text(max_size=8), st.lists(st.integers(), max_size=3),
+)
+
+
+@SETTINGS
+@given(
+    junk=st.lists(st.text(max_size=40), min_size=1, max_size=20),
+    objects=st.lists(
+        st.dictionaries(st.sampled_from(["Time", "V1", "__id", "__sentinel", "total_published", "x"]), _json_value, max_size=5),
+        max_size=20,
+    ),
+)
+def test_decoding_never_fails_and_routes_every_message(spark, junk, objects):
+    import json
+
+    from raresift.operators.events import KINDS, decode_messages
+
+    texts = junk + [json.dumps(o) for o in objects]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    rows = decode_messages(df, ["Time", "V1"]).collect()
+    assert len(rows) == len(texts)
+    assert all(r["kind"] in KINDS for r in rows)
+    for r in rows:
+        if r["kind"] == "ok":
+            assert r["Time"] is not None and r["V1"] is not None
+        if r["kind"] in ("bad", "invalid"):
+            assert r["reason"]
