@@ -90,3 +90,13 @@ def test_tally_cleaning_equals_clean_table(spark):
     b = clean_tally(tally)
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_positives_and_keyless_sample(spark):
+    from raresift.operators.profile import positives
+
+    clean = clean_table(transactions(spark, SF_MID))
+    assert positives(clean).count() == class_counts(clean).first()["positives"] == 60
+    raw = transactions(spark, SF_SMALL)
+    s = sample_rows(raw, 0.5, seed=7)  # no key: Spark's seeded Bernoulli sample
+    assert 0.35 * raw.count() < s.count() < 0.65 * raw.count()
