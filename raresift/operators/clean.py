@@ -68,6 +68,33 @@ def tally_rows(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
+def is_complete(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
+    """True for rows that :func:`drop_incomplete` keeps (no null; no NaN in float columns)."""
+    types = dict(df.dtypes)
+    checks = []
+    for c in cols or df.columns:
+        ok = F.col(c).isNotNull()
+        if types[c] in ("double", "float"):
+            ok = ok & ~F.isnan(F.col(c))
+        checks.append(ok)
+    out = checks[0]
+    for ok in checks[1:]:
+        out = out & ok
+    return out
+
+
+def tally_counts(tally: DataFrame, target: str = TARGET) -> DataFrame:
+    """Rows before cleaning, after cleaning, and per class, in one aggregate over a tally."""
+    cols = [c for c in tally.columns if c != COPIES]
+    complete = is_complete(tally, cols)
+    return tally.agg(
+        F.sum(COPIES).alias("rows_before_cleaning"),
+        F.count_if(complete).alias("rows_after_cleaning"),
+        F.count_if(complete & (F.col(target) == 1)).alias("positives"),
+        F.count_if(complete & (F.col(target) != 1)).alias("negatives"),
+    )
+
+
 def clean_tally(tally: DataFrame, target: str = TARGET, label: str = LABEL) -> DataFrame:
     """The cleaned table from a tally: complete groups, one row each, renamed.
 

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from raresift.functions.expressions import SEED, alert_text
 from raresift.functions.schema import LABEL, WEIGHT, feature_columns
 from raresift.functions.scoring import LinearScorer
-from raresift.operators.clean import clean_table, sample_rows
+from raresift.operators.clean import clean_table, sample_rows, tally_counts, tally_rows
 from raresift.operators.cumulative import global_position
 from raresift.operators.evaluate import binary_areas, confusion_matrix, evaluator_areas, sample_predictions
 from raresift.operators.events import decode_messages, encode_messages, with_input_position
 from raresift.operators.model import fit_classifier, fit_scaler, load_model, save_model, scaler_deviations, score
 from raresift.operators.persist import keep
-from raresift.operators.profile import class_counts, class_profile, class_weights, with_class_weight
+from raresift.operators.profile import class_profile, class_weights, with_class_weight
 from raresift.operators.split import split_counts, train_test_split
 from raresift.plans.streaming_job import ScoringOutput, publish, run_stream_scoring
 from raresift.plans.training import run_training
@@ -69,15 +69,8 @@ def q_clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("clean_counts")
 def q_clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = transactions(spark, sf_dir)
-    before = raw.agg(F.count(F.lit(1))).scalar()
-    counts = class_counts(clean_table(raw))
-    return counts.select(
-        before.alias("rows_before_cleaning"),
-        F.col("rows").alias("rows_after_cleaning"),
-        "positives",
-        "negatives",
-    )
+    """Counts before and after cleaning from one pass: the copy tally of the input."""
+    return tally_counts(tally_rows(transactions(spark, sf_dir)))
 
 
 def _view(prefix: str) -> str:

@@ -100,3 +100,13 @@ def test_positives_and_keyless_sample(spark):
     raw = transactions(spark, SF_SMALL)
     s = sample_rows(raw, 0.5, seed=7)  # no key: Spark's seeded Bernoulli sample
     assert 0.35 * raw.count() < s.count() < 0.65 * raw.count()
+
+
+def test_is_complete_agrees_with_drop_incomplete(spark):
+    from raresift.operators.clean import is_complete
+
+    df = spark.createDataFrame(
+        [(1.0, "a", 1), (None, "a", 1), (float("nan"), "b", 0), (2.0, None, 0), (3.0, "c", None), (4.0, "d", 0)],
+        "x double, s string, Class int",
+    )
+    assert df.filter(is_complete(df)).count() == drop_incomplete(df).count() == 2
