@@ -42,7 +42,7 @@ def summarise(text: str) -> dict:
 # What each query does at scale: the data-sized shuffles and what stays bounded.
 NOTES = {
     "clean_transactions": "one shuffle of distinct rows (partial aggregate first: copies collapse per task)",
-    "clean_counts": "dedup shuffle + one-row final aggregate; the raw count is a metadata-only scalar subquery",
+    "clean_counts": "one input pass: copy tally (partial agg + shuffle), then all counts in one aggregate",
     "class_profile": "dedup shuffle; the profile aggregate shuffles at most (#tasks x #labels) partial rows",
     "class_weights": "as class_profile; the weight is a one-row scalar subquery",
     "sample_fraction": "narrow: md5 filter, no shuffle",
