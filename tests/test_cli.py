@@ -37,3 +37,14 @@ def test_train_publish_score(spark):
     assert report["total_messages_seen"] == 500
     assert report["sentinel_total_published"] == 500
     assert report["complete"] is True
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2", BENCH_DRIVER_MEMORY="2g")
+    done = subprocess.run([sys.executable, "bench.py"], cwd=ROOT, env=env, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stderr[-2000:]
+    lines = [ln for ln in done.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    out = json.loads(lines[0])
+    assert out["metric"] == "total_sec" and out["unit"] == "sec" and out["sf"] == 0.001
+    assert out["value"] > 0 and set(out["queries"]) >= {"class_profile", "training_summary", "stream_scored"}
