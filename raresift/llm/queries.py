@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from raresift.llm._tokens import default_tokenizer
+from raresift.llm.decontaminate import find_contamination
 from raresift.llm.packing import pack
 from raresift.llm.token_files import token_files_round_trip
 
@@ -20,6 +21,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all windows of ten words of the benchmark."""
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written as bit planes and read back."""
     return token_files_round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
@@ -27,6 +33,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op6_decontamination": op6_decontamination,
     "op8_token_files": op8_token_files,
 }
 
