@@ -10,6 +10,7 @@ from raresift.llm._tokens import default_tokenizer
 from raresift.llm.decontaminate import find_contamination
 from raresift.llm.packing import pack
 from raresift.llm.token_files import token_files_round_trip
+from raresift.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +32,17 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files_round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored for toxicity by a model of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op6_decontamination": op6_decontamination,
     "op8_token_files": op8_token_files,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
