@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from raresift.llm._tokens import default_tokenizer
 from raresift.llm.decontaminate import find_contamination
 from raresift.llm.packing import pack
+from raresift.llm.quality import fit_quality, score_quality
 from raresift.llm.token_files import token_files_round_trip
 from raresift.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -27,6 +28,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored for quality by a rule ensemble of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written as bit planes and read back."""
     return token_files_round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
@@ -41,6 +48,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op6_decontamination": op6_decontamination,
+    "op7_quality": op7_quality,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
 }
