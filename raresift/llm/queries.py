@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from raresift.llm._tokens import default_tokenizer
 from raresift.llm.decontaminate import find_contamination
 from raresift.llm.packing import pack
 from raresift.llm.quality import fit_quality, score_quality
+from raresift.llm.repeats import remove_repeated
 from raresift.llm.token_files import token_files_round_trip
 from raresift.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -18,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the windows of 35 words that occur more than once."""
+    kept = remove_repeated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids."""
     return pack(table(spark, sf_dir, "documents"), default_tokenizer())
@@ -46,6 +54,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_repeats": op2_repeats,
     "op3_packing": op3_packing,
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
