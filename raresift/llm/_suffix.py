@@ -70,6 +70,8 @@ def common_prefixes(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(position, earlier, length) of every suffix tied with the one before it in the array.
 
+    Suffixes shorter than ``limit`` (up to the end of their document) don't count.
+
     Kasai's rule: when a suffix and its predecessor share ``l`` symbols, the
     next suffix shares ``l - 1`` with the predecessor's next one.  So lengths
     are compared byte by byte only where a run of such neighbours begins and
@@ -77,13 +79,12 @@ def common_prefixes(
     its document, which no common prefix passes; ``limit`` is the depth to
     which ``order`` is sorted.
     """
-    at, before = order[1:], order[:-1]
+    whole = order[order.astype(np.int64) + limit <= ends[order]] if len(order) else order
+    at, before = whole[1:].astype(np.int64), whole[:-1].astype(np.int64)
     same = rank[at] == rank[before]
-    at, before = at[same].astype(np.int64), before[same].astype(np.int64)
+    at, before = at[same], before[same]
     by = np.argsort(at)
     at, before = at[by], before[by]
-    fits = (at + limit <= ends[at]) & (before + limit <= ends[before]) if len(at) else np.zeros(0, bool)
-    at, before = at[fits], before[fits]
     if not len(at):
         return at, before, at
     fresh = np.ones(len(at), bool)

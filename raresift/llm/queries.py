@@ -12,6 +12,7 @@ from raresift.llm.decontaminate import find_contamination
 from raresift.llm.packing import pack
 from raresift.llm.quality import fit_quality, score_quality
 from raresift.llm.repeats import remove_repeated
+from raresift.llm.suffix_dedup import remove_repeated_strings
 from raresift.llm.token_files import token_files_round_trip
 from raresift.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -53,6 +54,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 100-byte strings that start earlier."""
+    kept = remove_repeated_strings(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repeats": op2_repeats,
     "op3_packing": op3_packing,
@@ -60,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {}
