@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raresift.llm._ship import ship
@@ -50,6 +50,7 @@ class ShardRow:
     rows: bytes
     answers: list[bytes]
     own: bytes | None
+    more: dict[str, pa.Scalar]
 
     def others(self) -> pa.RecordBatch:
         """The documents' other columns."""
@@ -57,6 +58,9 @@ class ShardRow:
             return reader.read_all().combine_chunks().to_batches()[0]
 
 
+_PLAIN = {"part", "shard", "n_bytes", "data", "offsets", "rows", "answers", "own"}
+
+
 def shard_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[ShardRow]:
     for batch in batches:
         for i in range(batch.num_rows):
@@ -69,6 +73,7 @@ def shard_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[ShardRow]:
                 row["rows"].as_py(),
                 (row["answers"].as_py() or []) if "answers" in row else [],
                 row["own"].as_py() if "own" in row else None,
+                {k: v for k, v in row.items() if k not in _PLAIN and v.is_valid},
             )
 
 
@@ -119,15 +124,29 @@ class ShardStore:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def answered(self, answers: DataFrame, own: DataFrame | None = None) -> DataFrame:
-        """Shards with their ``answers`` (array of binary, null for none), and what they left for themselves."""
-        mine = answers.groupBy("part", "shard").agg(F.collect_list("payload").alias("answers"))
-        out = self.read().join(mine.hint("shuffle_hash"), ["part", "shard"], "left")
+    def answered(self, answers: DataFrame | None = None, own: DataFrame | None = None, **by_part: DataFrame) -> DataFrame:
+        """Shards with what belongs to them, null for nothing.
+
+        ``answers``: their payloads as an array; ``own``: what they left for
+        themselves; ``by_part``: further columns, each from a table (part,
+        value) with one row for each part.
+        """
+        out = self.read()
+        if answers is not None:
+            mine = answers.groupBy("part", "shard").agg(F.collect_list("payload").alias("answers"))
+            out = out.join(mine.hint("shuffle_hash"), ["part", "shard"], "left")
         if own is not None:
             left = own.filter(F.col("bucket") == OWN).select("part", "shard", F.col("payload").alias("own"))
             out = out.join(left.hint("shuffle_hash"), ["part", "shard"], "left")
+        for name, table in by_part.items():
+            mine = table.select("part", F.col("value").alias(name))
+            out = out.join(mine.hint("shuffle_hash"), "part", "left")
         return out
 
+    def part_of(self, order_col: str) -> Column:
+        """The part of a document with this id."""
+        return F.pmod(F.xxhash64(F.col(order_col)), F.lit(self.parts)).cast("int")
+
     @contextmanager
     def joins(self) -> Iterator[None]:
         """While inside, rows bucketed by part alone may be joined by (part, shard) where they lie."""

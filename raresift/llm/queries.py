@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from raresift.llm._tokens import default_tokenizer
 from raresift.llm.decontaminate import find_contamination
+from raresift.llm.near_duplicates import near_duplicates
 from raresift.llm.packing import pack
 from raresift.llm.quality import fit_quality, score_quality
 from raresift.llm.repeats import remove_repeated
@@ -32,6 +33,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents linked at 85 percent of equal 3-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all windows of ten words of the benchmark."""
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -63,6 +69,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repeats": op2_repeats,
     "op3_packing": op3_packing,
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_token_files": op8_token_files,
