@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from raresift.llm._tokens import default_tokenizer
 from raresift.llm.decontaminate import find_contamination
+from raresift.llm.embeddings import near_duplicate_vectors
 from raresift.llm.near_duplicates import near_duplicates
 from raresift.llm.packing import pack
 from raresift.llm.quality import fit_quality, score_quality
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors linked within their label at a cosine of 0.98."""
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the windows of 35 words that occur more than once."""
     kept = remove_repeated(table(spark, sf_dir, "documents"))
@@ -67,6 +73,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embeddings": op1_embeddings,
     "op2_repeats": op2_repeats,
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
