@@ -11,12 +11,14 @@ from raresift.llm._tokens import default_tokenizer
 from raresift.llm.decontaminate import find_contamination
 from raresift.llm.embeddings import near_duplicate_vectors
 from raresift.llm.near_duplicates import near_duplicates
+from raresift.llm.oracles import ORACLE
 from raresift.llm.packing import pack
 from raresift.llm.quality import fit_quality, score_quality
 from raresift.llm.repeats import remove_repeated
 from raresift.llm.suffix_dedup import remove_repeated_strings
 from raresift.llm.token_files import token_files_round_trip
 from raresift.llm.toxicity import fit_toxicity, score_toxicity
+from raresift.llm.warc import derivatives, responses_of_pages, serialized
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +46,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages' responses."""
+    records = derivatives(responses_of_pages(table(spark, sf_dir, "pages")))
+    return records.withColumn("record_sha256", F.sha2(serialized(records), 256)).drop("block")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all windows of ten words of the benchmark."""
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -77,11 +85,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repeats": op2_repeats,
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-
-ORACLE: dict[str, str] = {}
