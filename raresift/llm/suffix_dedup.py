@@ -213,13 +213,15 @@ def _removed(row: ShardRow, length: int) -> np.ndarray:
     gone_start, gone_end, start, count, which, cuts = _unpack(row.own)
     gone = _marked(len(row.data), gone_start, gone_end - gone_start)
     slots = {int(w): i for i, w in enumerate(which.tolist())}
+    found = [np.zeros(0, np.int64)]
     for answer in row.answers:
         slot = slots[struct.unpack_from("<q", answer)[0]]
         later = np.frombuffer(answer, np.bool_, offset=8)
         some_start, some_count = start[cuts[slot] : cuts[slot + 1]], count[cuts[slot] : cuts[slot + 1]]
         at = np.arange(len(later)) + np.repeat(some_start - (np.cumsum(some_count) - some_count), some_count)
-        gone |= _marked(len(row.data), at[later], np.full(int(later.sum()), length))
-    return gone
+        found.append(at[later])
+    windows = np.concatenate(found)
+    return gone | _marked(len(row.data), windows, np.full(len(windows), length))
 
 
 def _marked(n: int, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
