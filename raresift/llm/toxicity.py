@@ -39,7 +39,7 @@ MAX_EXPECTED = 0.05
 THRESHOLD = 0.5
 
 SCORE_SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_passages long"
-PASSAGE_SCHEMA = "doc_id long, start long, end long, score double, expected double"
+PASSAGE_SCHEMA = "doc_id long, start long, end long, score double, log_expected double"
 
 
 @dataclass
@@ -97,7 +97,7 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
 
 
 def passages(model: ToxicityModel, texts: pa.Array) -> list[list[tuple[int, int, float, float]]]:
-    """Of each text, its passages: first and past-last byte, score, and expected number by chance."""
+    """Of each text, its passages: first and past-last byte, score, and log of the number expected by chance."""
     data, starts, ends, first = _words(texts)
     weight = np.zeros(len(starts))
     low = np.uint64((1 << 20) - 1)
@@ -122,15 +122,15 @@ def passages(model: ToxicityModel, texts: pa.Array) -> list[list[tuple[int, int,
             scores.append(float(weight[at]))
         n = int(first[d + 1] - first[d])
         for a, b, score in maximal_segments(scores):
-            expected = K * n * math.exp(-model.decay * score)
-            if expected < MAX_EXPECTED:
-                begin, end = starts[own[(a + 1) // 2]], ends[own[(b - 1) // 2]]
-                out[d].append((int(begin - bytes_before[d]), int(end - bytes_before[d]), score, expected))
+            log_expected = math.log(K * n) - model.decay * score
+            if log_expected < math.log(MAX_EXPECTED):
+                begin, end = starts[own[a // 2]], ends[own[(b - 1) // 2]]
+                out[d].append((int(begin - bytes_before[d]), int(end - bytes_before[d]), score, log_expected))
     return out
 
 
 def evidence(found: list[tuple[int, int, float, float]]) -> float:
-    return sum(-math.log(expected) for _, _, _, expected in found)
+    return -sum(log_expected for _, _, _, log_expected in found)
 
 
 def _decay(share: np.ndarray, weights: np.ndarray) -> float:
@@ -269,7 +269,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def toxic_passages(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """One row per passage: doc_id, byte span in the text, score, and how many are expected by chance."""
+    """One row per passage: doc_id, byte span in the text, score, and log of the number expected by chance."""
     ship(docs.sparkSession)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +279,7 @@ def toxic_passages(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "start", "end", "score", "expected"]
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "start", "end", "score", "log_expected"]
             )
 
     return docs.select(
