@@ -3,13 +3,13 @@
 Fitting: tokens (words and their first letters) get log-odds between toxic
 and other labelled documents with an informative Dirichlet prior; those far
 enough from zero in standard deviations form the lexicon.  Scoring: a word
-counts its best token's log-odds, or a small loss; all maximal segments with
-a positive sum are found in one linear scan (Ruzzo and Tompa).  By
-Karlin-Altschul statistics a segment of score S in n words is expected
-K n exp(-lambda S) times by chance; segments expected less than
-``MAX_EXPECTED`` times are passages, and a document's evidence is the sum of
-their -ln E.  A logistic curve through the training rows turns evidence into
-a probability.
+counts its best token's weight (log-odds at the cautious end) where the
+document has it first, or a small loss; all maximal segments with a positive
+sum are found in one linear scan (Ruzzo and Tompa).  By Karlin-Altschul
+statistics a segment of score S in n words is expected K n exp(-lambda S)
+times by chance; segments expected less than ``MAX_EXPECTED`` times are
+passages, and a document's evidence is the sum of their -ln E.  A logistic
+curve through the training rows turns evidence into a probability.
 """
 
 from __future__ import annotations
@@ -26,13 +26,16 @@ from pyspark.sql import functions as F
 from raresift.llm._labels import MAX_TRAINING, held_out, training_rows
 from raresift.llm._ship import ship
 from raresift.llm._text import ALNUM, column, find_words, hash_words, lower_ascii, mix, text_bytes, text_slices
+from raresift.operators.persist import materialize
 
 PREFIXES = (4, 5, 6)
 #: Share of a token's own count that its prior weighs.
 PRIOR_SHARE = 0.05
-MIN_Z = 3.0
+#: Tokens of the lexicon are this many standard deviations, and this odds ratio, on the toxic side.
+MIN_Z, MIN_RATIO = 4.0, 8.0
 MAX_TERMS = 20_000
-MAX_WEIGHT = 6.0
+#: A token's weight is its log-odds less so many standard deviations.
+HELD_BACK = 2.0
 LOSS = 0.5
 K = 0.1
 MAX_EXPECTED = 0.05
@@ -110,6 +113,12 @@ def passages(model: ToxicityModel, texts: pa.Array) -> list[list[tuple[int, int,
         np.maximum.at(weight, index[true], found)
     hits = np.flatnonzero(weight > 0)
     doc = np.searchsorted(first, hits, side="right") - 1
+    # a word that a document repeats is evidence once
+    words = hash_words(data, starts[hits], ends[hits])
+    by = np.lexsort((hits, words, doc))
+    again = np.zeros(len(hits), bool)
+    again[by[1:]] = (words[by[1:]] == words[by[:-1]]) & (doc[by[1:]] == doc[by[:-1]])
+    hits, doc = hits[~again], doc[~again]
     out: list[list[tuple[int, int, float, float]]] = [[] for _ in range(len(first) - 1)]
     bytes_before = text_bytes(texts)[1]
     for d in np.unique(doc).tolist():
@@ -199,10 +208,12 @@ def fit_toxicity(
     counts = rows.mapInArrow(count, "token long, toxic long, other long").groupBy("token").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other")
     )
+    counts = materialize(counts, "token-counts")
     size = rows.agg(F.sum("y").alias("toxic"), F.count("*").alias("n")).first()
-    n_toxic, n_other = float(size.toxic or 0), float((size.n or 0) - (size.toxic or 0))
+    sums = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
+    n_toxic, n_other = float(sums.toxic or 0), float(sums.other or 0)
     if not n_toxic or not n_other:
-        share = n_toxic / max(1.0, n_toxic + n_other)
+        share = float(size.toxic or 0) / max(1.0, float(size.n or 0))
         odds = math.log((share + 1e-3) / (1 - share + 1e-3))
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 1.0, odds, 0.0)
     both = F.col("toxic") + F.col("other")
@@ -214,14 +225,15 @@ def fit_toxicity(
         counts.filter("toxic > 1")
         .withColumn("odds", odds)
         .withColumn("z", F.col("odds") / spread)
-        .filter((F.col("z") >= MIN_Z) & (F.col("odds") > math.log(4)))
+        .withColumn("weight", F.col("odds") - HELD_BACK * spread)
+        .filter((F.col("z") >= MIN_Z) & (F.col("odds") >= math.log(MIN_RATIO)))
         .orderBy(F.desc("z"), "token")
         .limit(max_terms)
         .collect()
     )
     tokens = np.array([t.token for t in terms], np.int64).view(np.uint64)
     by = np.argsort(tokens)
-    weights = np.minimum(np.array([t.odds for t in terms], float), MAX_WEIGHT)[by]
+    weights = np.array([t.weight for t in terms], float)[by]
     # share of words of other documents, at about one word of a kind in each
     words = rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 1
     share = (np.array([t.other + PRIOR_SHARE * (t.toxic + t.other) for t in terms], float)[by]) / max(1, words)
