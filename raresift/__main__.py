@@ -11,6 +11,7 @@ import argparse
 import json
 
 from raresift.functions.expressions import DECISION_THRESHOLD, MAX_ITER
+from raresift.streaming.report import REPORT_CAP
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -20,6 +21,7 @@ def _parser() -> argparse.ArgumentParser:
 
     t = sub.add_parser("train", help="clean, profile, fit, evaluate and save a classifier")
     t.add_argument("--data-path", required=True, help="headed CSV (schema inferred) or a parquet folder")
+    t.add_argument("--format", choices=["csv", "parquet"], default=None, help="default: by the path's ending")
     t.add_argument("--output-dir", required=True, help="folder for summary and sample predictions")
     t.add_argument("--max-iter", type=int, default=MAX_ITER)
     t.add_argument("--sample-fraction", type=float, default=1.0)
@@ -36,11 +38,15 @@ def _parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("score-stream", help="score a message folder with a saved model")
     s.add_argument("--model-dir", required=True)
-    s.add_argument("--source", required=True, help="message folder (JSON lines)")
+    s.add_argument("--source", default=None, help="message folder (JSON lines); none for a bus")
+    s.add_argument("--format", default="text", help="source format: text, or that of a message bus")
+    s.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="source option; repeatable")
     s.add_argument("--work-dir", required=True, help="sink and checkpoint folder")
     s.add_argument("--report-path", default=None)
-    s.add_argument("--max-runtime-seconds", type=float, default=600.0)
-    s.add_argument("--max-files-per-trigger", type=int, default=1)
+    s.add_argument("--max-runtime-seconds", type=float, default=None, help="stop there; the report says finished=false")
+    s.add_argument("--max-files-per-trigger", type=int, default=None)
+    s.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    s.add_argument("--report-cap", type=int, default=REPORT_CAP, help="flagged rows listed in the document")
     s.add_argument("--dedupe-delay", default=None, help="e.g. '10 minutes' to drop redeliveries by __id")
     s.add_argument("--live", action="store_true", help="1-second micro-batches until the sentinel and drain")
     return p
@@ -57,7 +63,8 @@ def main(argv: list[str] | None = None) -> int:
             from raresift.sources.tables import read_csv_table, read_parquet_table
 
             path = args.data_path
-            if path.rstrip("/").endswith(".parquet"):
+            kind = args.format or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
+            if kind == "parquet":
                 raw = read_parquet_table(spark, path)
             else:
                 raw = read_csv_table(spark, path, schema=args.schema, sampling_ratio=args.sampling_ratio)
@@ -101,6 +108,10 @@ def main(argv: list[str] | None = None) -> int:
                 report_path=args.report_path,
                 dedupe_delay=args.dedupe_delay,
                 live=args.live,
+                report_cap=args.report_cap,
+                fmt=args.format,
+                options=dict(o.split("=", 1) for o in args.option),
+                max_offsets_per_trigger=args.max_offsets_per_trigger,
             )
             print(json.dumps(out.report.drop("frauds").first().asDict(recursive=True), default=str))
     finally:

@@ -16,7 +16,7 @@ SPLIT = "split"
 
 
 def split_flag(key: str | Column, train_fraction: float = TRAIN_FRACTION, seed: int = SEED) -> Column:
-    """'train' for about ``train_fraction`` of keys, 'test' for the rest."""
+    """'train' for about ``train_fraction`` of keys, 'test' for the rest and for a null key."""
     return F.when(hash_fraction(key, train_fraction, seed), F.lit("train")).otherwise(F.lit("test"))
 
 
@@ -29,9 +29,9 @@ def with_split(
 def train_test_split(
     df: DataFrame, key: str | Column, train_fraction: float = TRAIN_FRACTION, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Two filters over the same input; the key must be unique and not null."""
-    keep = hash_fraction(key, train_fraction, seed)
-    return df.filter(keep), df.filter(~keep)
+    """Two filters over the same input, by :func:`split_flag`; every row is on one side."""
+    side = split_flag(key, train_fraction, seed)
+    return df.filter(side == "train"), df.filter(side == "test")
 
 
 def split_counts(df: DataFrame, key: str | Column, label: str, **kw) -> DataFrame:

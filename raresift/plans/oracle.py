@@ -189,15 +189,19 @@ UNION ALL SELECT 'Amount', round(stddev_samp(Amount), 6) FROM tr
 def _event_ctes() -> str:
     from raresift.sources.fixtures import (
         BAD_IDS,
+        INVALID_IDS,
         JSON_NULL_ID,
         MISSING_FIELD_ID,
         NAN_ID,
         NOT_A_NUMBER_ID,
+        MESSAGE_TIME_STEP,
+        REDELIVERED_AMOUNT,
         REDELIVERED_IDS,
     )
 
     bad = ", ".join(map(str, BAD_IDS))
     redelivered = ", ".join(map(str, REDELIVERED_IDS))
+    faulty = ", ".join(map(str, (*INVALID_IDS, *BAD_IDS)))
     return f"""
 e AS (
     SELECT event_id AS __id,
@@ -220,7 +224,8 @@ body AS (
              WHEN __id = {NAN_ID} THEN 'Time:nan'
              WHEN __id = {NOT_A_NUMBER_ID} THEN 'V2:not_a_number'
              END AS reason,
-        CASE WHEN __id IN ({bad}) THEN NULL WHEN __id = {NAN_ID} THEN CAST('nan' AS DOUBLE) ELSE "Time" END AS "Time",
+        CASE WHEN __id IN ({bad}) THEN NULL WHEN __id = {NAN_ID} THEN CAST('nan' AS DOUBLE)
+             ELSE floor("Time" / {MESSAGE_TIME_STEP}) * {MESSAGE_TIME_STEP} END AS "Time",
         CASE WHEN __id IN ({bad}) OR __id = {JSON_NULL_ID} THEN NULL ELSE V1 END AS V1,
         CASE WHEN __id IN ({bad}) OR __id = {NOT_A_NUMBER_ID} THEN NULL ELSE V2 END AS V2,
         CASE WHEN __id IN ({bad}) OR __id = {MISSING_FIELD_ID} THEN NULL ELSE Amount END AS Amount,
@@ -234,7 +239,8 @@ deliveries AS (
            CAST(NULL AS DOUBLE) AS Amount, (SELECT count(*) FROM events) AS total_published,
            CAST(NULL AS BIGINT) AS src_id
     UNION ALL SELECT * FROM body
-    UNION ALL SELECT * FROM body WHERE src_id IN ({redelivered})
+    UNION ALL SELECT * FROM body
+    WHERE (src_id IN ({redelivered}) OR Amount >= {REDELIVERED_AMOUNT} AND src_id % 2 = 0) AND src_id NOT IN ({faulty})
 ),
 scored AS (
     SELECT *,
@@ -279,7 +285,8 @@ SELECT
     count(*) FILTER (WHERE kind = 'ok') AS scored_messages,
     count(*) FILTER (WHERE kind = 'invalid') AS invalid_messages,
     count(*) FILTER (WHERE kind = 'bad') AS bad_messages,
-    coalesce(count(DISTINCT CASE WHEN kind <> 'sentinel' THEN __id END) = max(total_published), false) AS complete
+    coalesce(count(DISTINCT CASE WHEN kind <> 'sentinel' THEN __id END) = max(total_published), false) AS complete,
+    true AS finished
 FROM pred
 """
 
@@ -291,12 +298,14 @@ SELECT
 FROM pred
 """
 
+ORACLE["report_frauds"] = "WITH " + _event_ctes().strip() + """
+SELECT CAST(row_number() OVER (ORDER BY __id) - 1 AS INTEGER) AS pos, __id, "Time", V1, V2, Amount, prediction
+FROM pred WHERE prediction = 1.0 QUALIFY pos < 100
+"""
+
 ORACLE["unique_by_time"] = "WITH " + _event_ctes().strip() + """
-, top AS (
-    SELECT __id, "Time", Amount, prediction FROM pred
-    WHERE prediction = 1.0 ORDER BY __id LIMIT 100
-)
-SELECT DISTINCT "Time", Amount, prediction FROM top ORDER BY "Time"
+SELECT "Time", __id, Amount, prediction FROM pred WHERE prediction = 1.0
+QUALIFY row_number() OVER (PARTITION BY "Time" ORDER BY __id) = 1
 """
 
 ORACLE["stream_dedup"] = "WITH " + _event_ctes().strip() + """
@@ -319,6 +328,6 @@ FROM pred WHERE prediction = 1.0
 """
 
 ORACLE["event_time_positions"] = """
-SELECT event_id AS __id, CAST(row_number() OVER (ORDER BY epoch_us(ts)) - 1 AS BIGINT) AS position
+SELECT event_id AS __id, CAST(row_number() OVER (ORDER BY epoch_us(ts), event_id) - 1 AS BIGINT) AS position
 FROM events
 """

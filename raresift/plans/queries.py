@@ -213,7 +213,9 @@ def q_training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("event_time_positions")
 def q_event_time_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event's 0-based position in time order, computed without a global sort."""
-    return global_position(event_features(spark, sf_dir), "Time", "position").select(EVENT_KEY, "position")
+    return global_position(event_features(spark, sf_dir), "Time", "position", tie_breaker=[EVENT_KEY]).select(
+        EVENT_KEY, "position"
+    )
 
 
 @register("encode_events")
@@ -246,7 +248,7 @@ def published_events(spark: SparkSession, sf_dir: str) -> str:
 
 def stream_run(spark: SparkSession, sf_dir: str, dedupe_delay: str | None = None, report: bool = False) -> ScoringOutput:
     work = scratch_path(spark, "stream")
-    return run_stream_scoring(
+    out = run_stream_scoring(
         spark,
         published_events(spark, sf_dir),
         work,
@@ -256,6 +258,14 @@ def stream_run(spark: SparkSession, sf_dir: str, dedupe_delay: str | None = None
         dedupe_delay=dedupe_delay,
         report_path=f"{work}/report" if report else None,
     )
+    return complete(out)
+
+
+def complete(out: ScoringOutput) -> ScoringOutput:
+    """The output of a run that read its whole source; a cut run is an error."""
+    if not out.run.finished:
+        raise RuntimeError("STREAM_CUT: the run was stopped before it had read all messages")
+    return out
 
 
 @register("stream_scored")
@@ -272,23 +282,31 @@ def q_stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.drop("frauds", "elapsed_seconds")
 
 
-def report_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the stream, write its report and read the document back (SNK4, SRC8)."""
+def report_document(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Run the stream, write its report, and read the document and the flagged table back (SNK4, SRC8)."""
     work = stream_run(spark, sf_dir, report=True)
     path = work.run.sink_path.rsplit("/", 1)[0] + "/report"
-    return read_report(spark, path)
+    return read_report(spark, path), spark.read.parquet(f"{path}-flagged")
 
 
 @register("report_fields")
 def q_report_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    doc = report_document(spark, sf_dir)
+    doc, _ = report_document(spark, sf_dir)
     return doc.select("frauds_flagged_count", "total_messages_seen", "sentinel_total_published")
 
 
+@register("report_frauds")
+def q_report_frauds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's list of flagged deliveries, entry by entry (AGG12, LIM2, PRJ8)."""
+    doc, _ = report_document(spark, sf_dir)
+    return report_frauds(doc, [EVENT_KEY, *EVENT_FEATURES, "prediction"])
+
+
 @register("unique_by_time")
 def q_unique_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frauds = report_frauds(report_document(spark, sf_dir), ("Time", "Amount", "prediction"))
-    return unique_by(frauds, "Time", "pos").select("Time", "Amount", "prediction")
+    """The first of all flagged deliveries for each ``Time`` (DUP2)."""
+    _, flagged = report_document(spark, sf_dir)
+    return unique_by(flagged, "Time", ["arrived_at", EVENT_KEY]).select("Time", EVENT_KEY, "Amount", "prediction")
 
 
 @register("stream_alerts")

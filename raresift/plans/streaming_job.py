@@ -2,8 +2,8 @@
 
 ``publish`` writes message deliveries as JSON-lines files (the encode job
 of the publisher; pacing is not rebuilt).  ``run_stream_scoring`` runs the
-streaming query over a message folder until it has drained it or hit the
-run-time cap, then builds the report from the sink.
+streaming query over a message folder or bus until it has drained it (or
+hit a run-time cap, if one is given), then builds the report from the sink.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from raresift.functions.scoring import LinearScorer
+from raresift.operators.events import ID
 from raresift.sinks.writers import write_document, write_messages
-from raresift.streaming.report import stream_report
+from raresift.streaming.report import REPORT_CAP, flagged_rows, stream_report
 from raresift.streaming.scorer import (
+    ARRIVED,
     StreamRun,
     dedupe_deliveries,
     message_stream,
@@ -42,7 +44,9 @@ def read_sink(spark: SparkSession, sink_path: str, schema: StructType) -> DataFr
     """The committed sink, or an empty frame of the stream's schema if no batch committed."""
     try:
         return spark.read.schema(schema).parquet(sink_path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -51,32 +55,43 @@ class ScoringOutput:
     run: StreamRun
     sink: DataFrame
     report: DataFrame
+    flagged: DataFrame
 
 
 def run_stream_scoring(
     spark: SparkSession,
-    source_dir: str,
+    source: str | None,
     work_dir: str,
     feature_cols: Sequence[str],
     scorer: LinearScorer | PipelineModel,
     passthrough: Sequence[str] = (),
-    max_files_per_trigger: int | None = 1,
-    max_runtime_seconds: float = 600.0,
+    max_files_per_trigger: int | None = None,
+    max_runtime_seconds: float | None = None,
     report_path: str | None = None,
     dedupe_delay: str | None = None,
     live: bool = False,
     processing_time: str = "1 second",
+    report_cap: int = REPORT_CAP,
+    fmt: str = "text",
+    options: dict[str, str] | None = None,
+    max_offsets_per_trigger: int | None = None,
 ) -> ScoringOutput:
-    """Score every message under ``source_dir`` into ``work_dir/sink``.
+    """Score every message of ``source`` into ``work_dir/sink``.
 
     With ``dedupe_delay`` redelivered ids are collapsed before the sink
     (DUP3); without it every delivery is kept, which is what the report's
     raw counters describe.  ``live`` runs a processing-time trigger until
-    the sentinel has been seen and the source is drained (or the cap);
-    otherwise the run drains what is there (``availableNow``) and stops.
+    the sentinel has been seen and the source is drained; otherwise the run
+    drains what is there (``availableNow``) and stops.  There is no run-time
+    cap unless one is given; a run that it cuts has ``finished = false`` in
+    its report.  ``report_path`` gets the document, and ``report_path`` +
+    ``-flagged`` the complete list of flagged deliveries as a table.
+    ``fmt``, ``options`` and ``max_offsets_per_trigger`` read a message bus
+    instead of a folder.
     """
     work = work_dir.rstrip("/")
-    stream = score_messages(message_stream(spark, source_dir, max_files_per_trigger), feature_cols, scorer, passthrough)
+    messages = message_stream(spark, source, max_files_per_trigger, fmt, options, max_offsets_per_trigger)
+    stream = score_messages(messages, feature_cols, scorer, passthrough)
     if dedupe_delay:
         stream = dedupe_deliveries(stream, dedupe_delay)
     stream = with_kind_metrics(stream)
@@ -84,12 +99,12 @@ def run_stream_scoring(
     query = start_sink(
         stream, sink_path, f"{work}/checkpoint", available_now=not live, processing_time=processing_time
     )
-    if live:
-        run = run_until_drained(spark, query, sink_path, max_runtime_seconds)
-    else:
-        run = run_bounded(query, sink_path, max_runtime_seconds)
+    follow = run_until_drained if live else run_bounded
+    run = follow(query, sink_path, max_runtime_seconds)
     sink = read_sink(spark, sink_path, stream.schema)
-    report = stream_report(sink, feature_cols, run.elapsed_seconds)
+    report = stream_report(sink, feature_cols, run.elapsed_seconds, report_cap, run.finished)
+    flagged = flagged_rows(sink).select(ARRIVED, ID, *feature_cols, "prediction")
     if report_path:
         write_document(report, report_path)
-    return ScoringOutput(run, sink, report)
+        flagged.write.mode("overwrite").parquet(f"{report_path}-flagged")
+    return ScoringOutput(run, sink, report, flagged)

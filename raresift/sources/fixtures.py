@@ -82,6 +82,10 @@ NOT_JSON_ID = 29  # text that is not JSON
 JSON_ARRAY_ID = 31  # a JSON array instead of an object
 NULL_MESSAGE_ID = 37  # the JSON literal null
 REDELIVERED_IDS = (5, 50, 500)  # delivered a second time, in a later file
+# So are high amounts of even ids: rows that the constant scorer flags.
+REDELIVERED_AMOUNT = 200.0
+# Message times are cut to the day, so that flagged rows share a ``Time``.
+MESSAGE_TIME_STEP = 86400
 INVALID_IDS = (MISSING_FIELD_ID, JSON_NULL_ID, NAN_ID, NOT_A_NUMBER_ID)
 BAD_IDS = (NOT_JSON_ID, JSON_ARRAY_ID, NULL_MESSAGE_ID)
 
@@ -91,12 +95,15 @@ def event_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     ``first``: the sentinel alone (it must not end the run early);
     ``body``: one message per event with the faults above;
-    ``redelivered``: exact repeats of a few body messages.
+    ``redelivered``: exact repeats of a few body messages, flagged ones among them.
+    ``Time`` is cut to the day, so several rows share one.
     Each is a DataFrame of ``__id`` (null for the sentinel) and ``value``.
     """
     from raresift.operators.events import encode_messages, sentinel_message
 
-    feats = event_features(spark, sf_dir)
+    step = F.lit(float(MESSAGE_TIME_STEP))
+    feats = event_features(spark, sf_dir).withColumn("Time", F.floor(F.col("Time") / step) * step)
+    repeat = F.col(EVENT_KEY).isin(*REDELIVERED_IDS) | ((F.col("Amount") >= REDELIVERED_AMOUNT) & (F.col(EVENT_KEY) % 2 == 0))
     clean = encode_messages(feats, EVENT_KEY, EVENT_FEATURES + ["label"])
     i = F.col(EVENT_KEY)
     v = F.col("value")
@@ -111,8 +118,9 @@ def event_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .otherwise(v)
     )
     body = clean.select(i, faulty.alias("value"))
+    repeated = feats.filter(repeat & ~i.isin(*INVALID_IDS, *BAD_IDS))
     return {
         "first": sentinel_message(clean),
         "body": body,
-        "redelivered": body.filter(i.isin(*REDELIVERED_IDS)),
+        "redelivered": encode_messages(repeated, EVENT_KEY, EVENT_FEATURES + ["label"]),
     }

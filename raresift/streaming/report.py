@@ -10,50 +10,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from raresift.operators.events import ID, TOTAL_FIELD
 
-# Fixed value: most flagged rows listed in one report (the count is not capped).
+# Fixed value: most flagged rows listed in one report (the count is not
+# capped, and the complete list is written as a table beside the document).
 REPORT_CAP = 100
+ARRIVED = "arrived_at"
 
 
-def report_counts(sink: DataFrame) -> DataFrame:
+def flagged_rows(sink: DataFrame) -> DataFrame:
+    """All flagged deliveries."""
+    return sink.filter(F.col("prediction") == 1.0)
+
+
+def arrival_order(sink: DataFrame) -> list[Column]:
+    """Arrival (the micro-batch's time), then publish order."""
+    return ([F.col(ARRIVED)] if ARRIVED in sink.columns else []) + [F.col(ID).asc_nulls_last()]
+
+
+def report_counts(sink: DataFrame, time_col: str = "Time") -> DataFrame:
     """One row of delivery counters (AGG8-AGG11).
 
     ``total_messages_seen`` counts every non-sentinel delivery, duplicates
     and rejects included; ``frauds_flagged_count`` counts flagged
-    deliveries.  Distinct counts on ``Time`` and on ``__id`` show how many
-    of those are redeliveries, and ``complete`` says whether every
-    published id arrived.
+    deliveries.  Distinct counts on the time column (null without one) and on
+    ``__id`` show how many of those are redeliveries, and ``complete`` says
+    whether every published id arrived.  Each distinct count is an aggregate
+    of its own over the rows it needs, so no row is copied for it.
     """
     data = F.col("kind") != F.lit("sentinel")
-    flagged = F.col("prediction") == F.lit(1.0)
-    return sink.agg(
-        F.count_if(data).alias("total_messages_seen"),
-        F.max(TOTAL_FIELD).alias("sentinel_total_published"),
-        F.count_if(flagged).alias("frauds_flagged_count"),
-        F.count_distinct(F.when(flagged, F.col("Time"))).alias("frauds_distinct_time"),
-        F.count_distinct(F.when(flagged, F.col(ID))).alias("frauds_distinct_id"),
-        F.count_distinct(F.when(data, F.col(ID))).alias("distinct_ids_seen"),
-        F.count_if(F.col("kind") == "ok").alias("scored_messages"),
-        F.count_if(F.col("kind") == "invalid").alias("invalid_messages"),
-        F.count_if(F.col("kind") == "bad").alias("bad_messages"),
-    ).withColumn(
-        "complete",
-        F.coalesce(F.col("distinct_ids_seen") == F.col("sentinel_total_published"), F.lit(False)),
-    )
-
-
-def flagged_top(sink: DataFrame, feature_cols: Sequence[str], cap: int = REPORT_CAP) -> DataFrame:
-    """First ``cap`` flagged deliveries in publish order (``__id``, then arrival) (LIM2, PRJ6)."""
-    order = [F.col(ID).asc_nulls_last()] + ([F.col("arrived_at")] if "arrived_at" in sink.columns else [])
+    flagged = flagged_rows(sink)
+    times = F.lit(None).cast("long")
+    if time_col in sink.columns:
+        times = flagged.agg(F.count_distinct(time_col)).scalar()
     return (
-        sink.filter(F.col("prediction") == 1.0)
-        .orderBy(*order)
-        .limit(cap)
-        .select(ID, *feature_cols, "prediction")
+        sink.agg(
+            F.count_if(data).alias("total_messages_seen"),
+            F.max(TOTAL_FIELD).alias("sentinel_total_published"),
+            F.count_if(F.col("prediction") == F.lit(1.0)).alias("frauds_flagged_count"),
+            F.count_if(F.col("kind") == "ok").alias("scored_messages"),
+            F.count_if(F.col("kind") == "invalid").alias("invalid_messages"),
+            F.count_if(F.col("kind") == "bad").alias("bad_messages"),
+        )
+        .withColumn("frauds_distinct_time", times)
+        .withColumn("frauds_distinct_id", flagged.agg(F.count_distinct(ID)).scalar())
+        .withColumn("distinct_ids_seen", sink.filter(data).agg(F.count_distinct(ID)).scalar())
+        .withColumn(
+            "complete",
+            F.coalesce(F.col("distinct_ids_seen") == F.col("sentinel_total_published"), F.lit(False)),
+        )
     )
 
 
@@ -62,31 +70,34 @@ def stream_report(
     feature_cols: Sequence[str],
     elapsed_seconds: float | None = None,
     cap: int = REPORT_CAP,
+    finished: bool = True,
 ) -> DataFrame:
-    """The full report document as one row (SNK4)."""
-    top = flagged_top(sink, feature_cols, cap)
-    frauds = top.agg(
-        F.coalesce(
-            F.array_sort(F.collect_list(F.struct(ID, *feature_cols, "prediction"))),
-            F.array().cast(f"array<struct<{ID}:bigint,{','.join(f'{c}:double' for c in feature_cols)},prediction:double>>"),
-        )
-    ).scalar()
-    counts = report_counts(sink)
-    return counts.select(
+    """The full report document as one row (SNK4).
+
+    ``frauds`` holds the first ``cap`` flagged deliveries in arrival order
+    (LIM2, PRJ6); ``finished`` is False for a run that its cap cut.
+    """
+    fields = [ID, *feature_cols, "prediction"]
+    order = [ARRIVED] if ARRIVED in sink.columns else []
+    top = flagged_rows(sink).orderBy(*arrival_order(sink)).limit(cap).select(*order, *fields)
+    listed = F.array_sort(F.collect_list(F.struct(*order, *fields)))
+    frauds = top.agg(F.transform(listed, lambda f: F.struct(*[f[c].alias(c) for c in fields]))).scalar()
+    return report_counts(sink).select(
         "*",
         frauds.alias("frauds"),
+        F.lit(bool(finished)).alias("finished"),
         F.lit(None if elapsed_seconds is None else round(float(elapsed_seconds), 2)).cast("double").alias("elapsed_seconds"),
     )
 
 
-def unique_by(df: DataFrame, key: str, position: str) -> DataFrame:
-    """First row per ``key`` (smallest ``position``), ordered by ``key`` (DUP2).
+def unique_by(df: DataFrame, key: str, position: Sequence[str]) -> DataFrame:
+    """First row per ``key`` (smallest by the ``position`` columns), ordered by ``key`` (DUP2).
 
     An aggregate, not a window: ``min_by`` combines map-side, so a key
     holding a third of the rows is reduced per task before the shuffle.
     """
     others = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*others), F.col(position)).alias("_first")
+    first = F.min_by(F.struct(*others), F.struct(*position)).alias("_first")
     return df.groupBy(key).agg(first).select(key, *[F.col(f"_first.{c}").alias(c) for c in others]).orderBy(key)
 
 

@@ -7,7 +7,7 @@ One Structured Streaming query replaces the hand-made consumer loop:
 * Micro-batches come from the trigger (``processingTime`` for a live
   service, ``availableNow`` for a bounded run that drains what is there
   and stops); ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` bound a
-  batch (STR1).
+  batch if given (STR1).
 * State across batches is the sink itself — every delivery is appended
   with its ``kind``, score and decision, so counters and the flagged list
   are batch aggregates over the sink, never driver memory (STR3, SNK7).
@@ -42,7 +42,7 @@ SOURCE_FILE = "source_file"
 def message_stream(
     spark: SparkSession,
     source: str | None,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     fmt: str = "text",
     options: dict[str, str] | None = None,
     max_offsets_per_trigger: int | None = None,
@@ -53,7 +53,9 @@ def message_stream(
     processing time of its micro-batch (``arrived_at``).  File formats read a
     folder of JSON-lines files; any other format (``kafka`` with its
     ``subscribe``/bootstrap options, for one) is read with ``options`` and
-    only needs a ``value`` column.
+    only needs a ``value`` column.  Batches are unbounded unless a limit is
+    given; a bus takes ``minOffsetsPerTrigger`` and ``maxTriggerDelay`` (a
+    batch at so many rows or after so long) as ``options``.
     """
     reader = spark.readStream.format(fmt).options(**(options or {}))
     file_source = fmt in ("text", "json", "csv", "parquet")
@@ -100,21 +102,27 @@ def score_messages(
     feature_cols: Sequence[str],
     scorer: LinearScorer | PipelineModel,
     passthrough: Sequence[str] = (),
+    time_col: str = "Time",
+    amount_col: str = "Amount",
 ) -> DataFrame:
     """Decode, route and score every message; batch or streaming (STR2, ML6, FLT2).
 
     Output: arrival columns, ``__id``, ``kind``, ``reason``, features,
     passthrough fields, ``total_published``, ``probability`` and
     ``prediction`` (null unless ``kind = 'ok'``), the live ``alert`` text of a
-    flagged row (SNK6) and the original ``value`` of a rejected one.
+    flagged row (SNK6; null for a model without the two notice columns) and
+    the original ``value`` of a rejected one.
     """
     keep = [c for c in (ARRIVED, SOURCE_FILE) if c in messages.columns]
     decoded = decode_messages(messages, feature_cols, passthrough, keep=keep)
     scored = _score_columns(decoded, scorer, feature_cols)
     rejected = F.col("kind").isin("bad", "invalid")
+    notice = F.lit(None).cast("string")
+    if {time_col, amount_col} <= set(scored.columns):
+        notice = F.when(F.col("prediction") == 1.0, alert_text(time_col, amount_col))
     return scored.select(
         *[c for c in scored.columns if c != "value"],
-        F.when(F.col("prediction") == 1.0, alert_text("Time", "Amount")).alias("alert"),
+        notice.alias("alert"),
         F.when(rejected, F.col("value")).alias("value"),
     )
 
@@ -157,43 +165,6 @@ def start_sink(
     return writer.start()
 
 
-@dataclass
-class StreamRun:
-    """Outcome of one run.  Batch figures come from the query's recent
-    progress reports (Spark keeps the last
-    ``spark.sql.streaming.numRecentProgressUpdates``, 100 by default)."""
-
-    sink_path: str
-    elapsed_seconds: float
-    finished: bool
-    batches: int
-    input_rows: int
-    batch_ms: list[int]  # read-score-commit time of each non-empty micro-batch
-
-
-def _summarise(query: StreamingQuery, sink_path: str, started: float, finished: bool) -> StreamRun:
-    progress = [p for p in query.recentProgress if int(p.get("numInputRows", 0)) > 0]
-    batch_ms = [int(p.get("durationMs", {}).get("triggerExecution", 0)) for p in progress]
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    return StreamRun(sink_path, time.time() - started, finished, len(progress), rows, batch_ms)
-
-
-def run_bounded(query: StreamingQuery, sink_path: str, max_runtime_seconds: float = 600.0) -> StreamRun:
-    """Wait for a bounded query, stopping it at the run-time cap (STR5, STR7).
-
-    ``elapsed_seconds`` is the driver clock from start to stop (AGG13);
-    rows still unread at the cap stay in the source for the next run.
-    """
-    started = time.time()
-    finished = False
-    try:
-        finished = bool(query.awaitTermination(max_runtime_seconds))
-    finally:
-        if query.isActive:
-            query.stop()
-    return _summarise(query, sink_path, started, finished)
-
-
 KIND_METRICS = "raresift_kinds"
 
 
@@ -221,41 +192,92 @@ def _batch_sentinels(progress) -> int:
         return 0
 
 
-def run_until_drained(
-    spark: SparkSession,
-    query: StreamingQuery,
-    sink_path: str,
-    max_runtime_seconds: float = 600.0,
-    poll_seconds: float = 1.0,
-) -> StreamRun:
-    """Run a live query until the sentinel has been seen and the source is drained.
+@dataclass
+class StreamRun:
+    """Outcome of one run.
 
-    The end condition of the original consumer ("sentinel arrived and the
-    buffer is empty"): after a committed batch holds the sentinel, the query
-    stops at the first later batch that brings no new rows.  Messages that
-    arrive after the sentinel but before the drain are still scored.  The
-    sentinel is seen through the observed metrics of each batch's progress
-    (:func:`with_kind_metrics`), never by scanning the sink.  The run-time
-    cap applies as in :func:`run_bounded` (STR4, STR5, STR7).
+    ``finished`` is False if the run-time cap cut it: then the sink holds
+    part of the source only.
     """
-    started = time.time()
-    finished = False
-    seen_batches: set[int] = set()
-    sentinels = 0
+
+    sink_path: str
+    elapsed_seconds: float
+    finished: bool
+    batches: int
+    input_rows: int
+    batch_ms: list[int]  # read-score-commit time of each non-empty micro-batch
+
+
+class _Progress:
+    """Figures of the batches that brought rows, gathered while the query runs.
+
+    Spark keeps only the last progress reports, so they are read often.  A
+    report of no rows carries the id of the batch to come, and doesn't count.
+    """
+
+    def __init__(self):
+        self.rows: dict[int, int] = {}
+        self.ms: dict[int, int] = {}
+        self.sentinels: dict[int, int] = {}
+
+    def read(self, query: StreamingQuery) -> None:
+        for p in query.recentProgress:
+            rows = int(p.get("numInputRows", 0))
+            if rows > 0:
+                batch = int(p["batchId"])
+                self.rows[batch] = rows
+                self.ms[batch] = int(p.get("durationMs", {}).get("triggerExecution", 0))
+                self.sentinels[batch] = _batch_sentinels(p)
+
+
+def _follow(
+    query: StreamingQuery, sink_path: str, max_runtime_seconds: float | None, until_drained: bool, poll_seconds: float
+) -> StreamRun:
+    started, finished, seen = time.time(), False, _Progress()
     try:
-        while query.isActive and time.time() - started < max_runtime_seconds:
-            if query.awaitTermination(poll_seconds):
+        while max_runtime_seconds is None or time.time() - started < max_runtime_seconds:
+            rest = poll_seconds if max_runtime_seconds is None else max(0.01, started + max_runtime_seconds - time.time())
+            if query.awaitTermination(min(poll_seconds, rest)):
                 finished = True
                 break
-            for p in query.recentProgress:
-                if p["batchId"] not in seen_batches:
-                    seen_batches.add(p["batchId"])
-                    sentinels += _batch_sentinels(p)
+            seen.read(query)
             last = query.lastProgress
-            if sentinels and last and int(last.get("numInputRows", 0)) == 0:
+            if until_drained and any(seen.sentinels.values()) and last and int(last.get("numInputRows", 0)) == 0:
                 finished = True
                 break
     finally:
         if query.isActive:
             query.stop()
-    return _summarise(query, sink_path, started, finished)
+        seen.read(query)
+    elapsed = time.time() - started
+    return StreamRun(
+        sink_path, elapsed, finished, len(seen.rows), sum(seen.rows.values()), [seen.ms[b] for b in sorted(seen.ms)]
+    )
+
+
+def run_bounded(
+    query: StreamingQuery, sink_path: str, max_runtime_seconds: float | None = None, poll_seconds: float = 1.0
+) -> StreamRun:
+    """Wait for a bounded query to read all there is (STR5, STR7).
+
+    ``elapsed_seconds`` is the driver clock from start to stop (AGG13).  With
+    a run-time cap the query is stopped there: rows still unread stay in the
+    source for the next run, and ``finished`` is False.
+    """
+    return _follow(query, sink_path, max_runtime_seconds, until_drained=False, poll_seconds=poll_seconds)
+
+
+def run_until_drained(
+    query: StreamingQuery, sink_path: str, max_runtime_seconds: float | None = None, poll_seconds: float = 1.0
+) -> StreamRun:
+    """Run a live query until the sentinel has been seen and the source is drained.
+
+    The end condition of the original consumer ("sentinel arrived and the
+    buffer is empty"): once a batch has held the sentinel, the query stops at
+    the first later report that brings no new rows.  Messages that arrive
+    after the sentinel but before the drain are still scored.  The sentinel is
+    seen through the observed metrics of each batch's progress
+    (:func:`with_kind_metrics`), never by scanning the sink.  The run-time
+    cap applies as in :func:`run_bounded` (STR4, STR5, STR7).
+    """
+    return _follow(query, sink_path, max_runtime_seconds, until_drained=True, poll_seconds=poll_seconds)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from raresift.operators.clean import clean_table
-from raresift.operators.cumulative import running_totals
+from raresift.operators.cumulative import global_position, running_totals
 from raresift.operators.evaluate import binary_areas, confusion_matrix, sample_predictions
 from raresift.operators.split import train_test_split
 from raresift.sources.fixtures import TXN_KEY, event_features, transactions
@@ -94,3 +94,20 @@ def test_bucket_count_is_bounded(spark):
     ev = event_features(spark, SF_SMALL)
     with pytest.raises(ValueError):
         running_totals(ev, "Time", ["Amount"], num_buckets=MAX_BUCKETS + 1)
+
+
+def test_split_keeps_rows_with_a_null_key(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
+    train, test = train_test_split(df, "k")
+    assert sorted(r.v for r in train.union(test).collect()) == [1, 2, 3]
+    assert 2 in {r.v for r in test.collect()}
+
+
+def test_positions_need_values_and_order_ties(spark):
+    rows = [(float(i % 3), i) for i in range(30)]
+    df = spark.createDataFrame(rows, "x double, i int").repartition(5)
+    got = {r.i: r.position for r in global_position(df, "x", tie_breaker=["i"], num_buckets=4).collect()}
+    want = {i: at for at, (_, i) in enumerate(sorted(rows))}
+    assert got == want
+    with pytest.raises(Exception, match="NULL_ORDER_KEY"):
+        global_position(df.union(spark.createDataFrame([(None, 99)], "x double, i int")), "x").count()
