@@ -29,6 +29,7 @@ HEADLINE = [
     "auc_roc",
     "auc_pr",
     "decode_events",
+    "card_messages_scored",
     "training_summary",
     "stream_scored",
     "stream_report",
@@ -76,7 +77,8 @@ def main() -> None:
     msgs = fx.event_messages(spark, sf_dir)
     src = publish([msgs["first"], msgs["body"].repartition(20), msgs["redelivered"]], scratch_path(spark, "bench-msgs"))
     run = run_stream_scoring(
-        spark, src, scratch_path(spark, "bench-stream"), fx.EVENT_FEATURES, EVENT_SCORER, ["label"]
+        spark, src, scratch_path(spark, "bench-stream"), fx.EVENT_FEATURES, EVENT_SCORER, ["label"],
+        max_files_per_trigger=1,
     ).run
     lat = sorted(run.batch_ms)
     out = {

@@ -58,16 +58,6 @@ def clean_table(df: DataFrame, target: str = TARGET, label: str = LABEL) -> Data
 COPIES = "_copies"
 
 
-def tally_rows(df: DataFrame) -> DataFrame:
-    """Distinct rows with their number of copies, nulls and NaN included.
-
-    The same map-side-combined aggregate as :func:`drop_duplicate_rows`,
-    plus a count: the sum of ``_copies`` is the input row count, so a job
-    that needs "rows before cleaning" gets it without a second input scan.
-    """
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
-
-
 def is_complete(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
     """True for rows that :func:`drop_incomplete` keeps (no null; no NaN in float columns)."""
     types = dict(df.dtypes)
@@ -83,23 +73,33 @@ def is_complete(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
     return out
 
 
+def tally_rows(df: DataFrame) -> DataFrame:
+    """Distinct complete rows with their number of copies, and one all-null row for all incomplete ones.
+
+    The same map-side-combined aggregate as :func:`drop_duplicate_rows`,
+    plus a count: the sum of ``_copies`` is the input row count, so a job
+    that needs "rows before cleaning" gets it without a second input scan.
+    Incomplete rows shrink to one row a task before the shuffle.
+    """
+    complete = is_complete(df)
+    return df.groupBy(*[F.when(complete, F.col(c)).alias(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
+
+
 def tally_counts(tally: DataFrame, target: str = TARGET) -> DataFrame:
     """Rows before cleaning, after cleaning, and per class, in one aggregate over a tally."""
-    cols = [c for c in tally.columns if c != COPIES]
-    complete = is_complete(tally, cols)
     return tally.agg(
         F.sum(COPIES).alias("rows_before_cleaning"),
-        F.count_if(complete).alias("rows_after_cleaning"),
-        F.count_if(complete & (F.col(target) == 1)).alias("positives"),
-        F.count_if(complete & (F.col(target) != 1)).alias("negatives"),
+        F.count_if(F.col(target).isNotNull()).alias("rows_after_cleaning"),
+        F.count_if(F.col(target) == 1).alias("positives"),
+        F.count_if(F.col(target) != 1).alias("negatives"),
     )
 
 
 def clean_tally(tally: DataFrame, target: str = TARGET, label: str = LABEL) -> DataFrame:
-    """The cleaned table from a tally: complete groups, one row each, renamed.
+    """The cleaned table from a tally: its complete rows, renamed.
 
-    Equal to :func:`clean_table` on the tallied input (dropping incomplete
-    rows before or after de-duplication keeps the same distinct rows).
+    Equal to :func:`clean_table` on the tallied input.  Only the target is
+    looked at to tell the incomplete row, so other columns stay prunable.
     """
     cols = [c for c in tally.columns if c != COPIES]
-    return drop_incomplete(tally.select(*cols), subset=cols).withColumnRenamed(target, label)
+    return tally.filter(F.col(target).isNotNull()).select(*cols).withColumnRenamed(target, label)

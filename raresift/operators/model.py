@@ -61,12 +61,6 @@ def score(model: PipelineModel, df: DataFrame, probability: str = "p_positive")
     return model.transform(df).withColumn(probability, vector_to_array(F.col("probability"))[1])
 
 
-def drop_vectors(df: DataFrame) -> DataFrame:
-    """Remove vector columns before a sink or an oracle comparison."""
-    vec = {RAW_FEATURES, FEATURES, "rawPrediction", "probability"}
-    return df.select([c for c in df.columns if c not in vec])
-
-
 def save_model(model: PipelineModel, path: str) -> str:
     """Save, replacing what is there (SNK1)."""
     model.write().overwrite().save(path)

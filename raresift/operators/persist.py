@@ -26,3 +26,12 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 def keep(df: DataFrame) -> DataFrame:
     """Memory-and-disk persistence for short-lived reuse (recomputable on loss)."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialised table (the folders that ``df`` reads)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

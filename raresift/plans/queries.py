@@ -13,29 +13,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raresift.functions.expressions import SEED, alert_text
-from raresift.functions.schema import LABEL, WEIGHT, feature_columns
+from raresift.functions.schema import LABEL, WEIGHT, card_feature_names, feature_columns
 from raresift.functions.scoring import LinearScorer
 from raresift.operators.clean import clean_table, sample_rows, tally_counts, tally_rows
 from raresift.operators.cumulative import global_position
 from raresift.operators.evaluate import binary_areas, confusion_matrix, evaluator_areas, sample_predictions
 from raresift.operators.events import decode_messages, encode_messages, with_input_position
 from raresift.operators.model import fit_classifier, fit_scaler, load_model, save_model, scaler_deviations, score
-from raresift.operators.persist import keep
+from raresift.operators.persist import materialize
 from raresift.operators.profile import class_profile, class_weights, with_class_weight
 from raresift.operators.split import split_counts, train_test_split
 from raresift.plans.streaming_job import ScoringOutput, publish, run_stream_scoring
 from raresift.plans.training import run_training
 from raresift.session import scratch_path
 from raresift.sources.fixtures import (
+    CARD_KEY,
     EVENT_FEATURES,
     EVENT_KEY,
+    MESSAGE_TIME_STEP,
     TXN_KEY,
+    card_features,
     event_features,
     event_messages,
     transactions,
 )
 from raresift.sources.tables import read_csv_strings, read_csv_table, read_report
 from raresift.streaming.report import report_frauds, unique_by
+from raresift.streaming.scorer import score_messages
 
 # Constant scorers of the oracle-checked scoring queries
 # (weights on raw, unscaled features; threshold 0.7 as in the training job).
@@ -43,6 +47,8 @@ TXN_SCORER = LinearScorer(intercept=-40.0, weights={"V1": 0.5, "V2": 200.0}, thr
 EVENT_SCORER = LinearScorer(
     intercept=-9.5, weights={"V1": 0.002, "V2": 0.004, "Amount": 0.05}, threshold=0.7
 )
+# Fixed value: the area that the fitted model must reach on held-out rows.
+AREA_FLOOR = 0.99
 # Fixed value: fraction of the sampling query.
 SAMPLE_FRACTION = 0.3
 
@@ -148,14 +154,12 @@ def q_auc_pr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fitted_fixture(spark: SparkSession, sf_dir: str):
-    """Weighted clean T, split by key, and the pipeline fitted on its train rows."""
-    weighted = with_class_weight(clean_fixture(spark, sf_dir))
+    """Weighted clean T (written once), split by key, and the pipeline fitted on its train rows."""
+    clean = materialize(clean_fixture(spark, sf_dir), "clean")
+    weighted = with_class_weight(clean)
     train, test = train_test_split(weighted, TXN_KEY)
     features = feature_columns(weighted, exclude=(LABEL, WEIGHT), extra_exclude=[TXN_KEY])
-    kept = keep(train)
-    model = fit_classifier(kept, features)
-    kept.unpersist()
-    return model, features, train, test
+    return fit_classifier(train, features), features, train, test
 
 
 @register("scaler_std")
@@ -171,43 +175,55 @@ def q_scaler_std(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("fit_quality")
 def q_fit_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows on either side, whether the exact areas equal the evaluator's, and whether they reach a floor."""
     model, _, train, test = fitted_fixture(spark, sf_dir)
-    predictions = keep(score(model, test))
+    scored = score(model, test).select(LABEL, "rawPrediction", "p_positive")
+    predictions = materialize(scored, "fit-predictions")
     roc, pr = evaluator_areas(predictions, num_bins=0)
-    predictions.unpersist()
     exact = binary_areas(predictions, "p_positive", LABEL)
-    counts = train.agg(F.count(F.lit(1))).scalar()
+    same = (F.abs(F.col("auc_roc") - F.lit(roc)) < 1e-9) & (F.abs(F.col("auc_pr") - F.lit(pr)) < 1e-9)
     return exact.select(
-        counts.alias("train_rows"),
+        train.agg(F.count(F.lit(1))).scalar().alias("train_rows"),
         (F.col("positives") + F.col("negatives")).alias("test_rows"),
-        F.round("auc_roc", 6).alias("auc_roc"),
-        F.round("auc_pr", 6).alias("auc_pr"),
-        F.lit(round(roc, 6)).alias("evaluator_auc_roc"),
-        F.lit(round(pr, 6)).alias("evaluator_auc_pr"),
+        same.alias("areas_agree"),
+        (F.col("auc_roc") > AREA_FLOOR).alias("above_floor"),
     )
 
 
+def compared(scored: DataFrame, model) -> DataFrame:
+    """One row: how many scored rows ``model`` scores again, and how many of them differently."""
+    again = score(model, scored.withColumnsRenamed({"p_positive": "p_before", "prediction": "before"}), "p_after")
+    apart = (F.abs(F.col("p_after") - F.col("p_before")) > 1e-12) | (F.col("before") != F.col("prediction"))
+    return again.agg(F.count(F.lit(1)).alias("rows_compared"), F.count_if(apart).alias("rows_differing"))
+
+
 @register("model_roundtrip")
 def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out rows scored by the fitted pipeline and by the same one saved and loaded."""
     model, _, _, test = fitted_fixture(spark, sf_dir)
-    path = save_model(model, scratch_path(spark, "model"))
-    loaded = load_model(path)
-    return score(loaded, test).select(
-        TXN_KEY, LABEL, F.round("p_positive", 6).alias("probability"), "prediction"
-    )
+    loaded = load_model(save_model(model, scratch_path(spark, "model")))
+    return compared(score(model, test).select(*test.columns, "p_positive", "prediction"), loaded)
 
 
 @register("training_summary")
 def q_training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training job's document, one row per class, with the rows of its CSV sample read back."""
+    out = scratch_path(spark, "training")
     result = run_training(
         spark,
         transactions(spark, sf_dir),
         dataset_path=f"{sf_dir}/lineitem.parquet",
-        output_dir=scratch_path(spark, "training"),
+        output_dir=out,
         key=[TXN_KEY],
         view=_view("transactions"),
     )
-    return result.summary
+    sample = read_csv_table(spark, f"{out}/sample_predictions", schema="label int, prediction int")
+    return result.summary.select(
+        "rows_before_cleaning", "rows_after_cleaning", "train_rows", "test_rows", "sample_fraction", "max_iter",
+        "decision_threshold", F.explode("sql_summary").alias("s"),
+        F.aggregate("confusion_matrix", F.lit(0).cast("long"), lambda n, c: n + c["count"]).alias("confusion_rows"),
+        sample.agg(F.count_if(F.col("label").isin(0, 1) & F.col("prediction").isin(0, 1))).scalar().alias("sample_rows"),
+    ).select("*", "s.*").drop("s")
 
 
 @register("event_time_positions")
@@ -344,16 +360,42 @@ def q_published_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_model_scored")
 def q_stream_model_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream scored by a saved MLlib pipeline fitted on the event table (ML6, SRC7)."""
-    ev = keep(with_class_weight(event_features(spark, sf_dir).drop(EVENT_KEY)))
-    model = fit_classifier(ev, EVENT_FEATURES)
-    ev.unpersist()
+    """Stream scored by a saved MLlib pipeline, against the same model on the event table (ML6, SRC7).
+
+    Per kind of message: deliveries, and how many of them differ from the batch score of their id.
+    """
+    step = float(MESSAGE_TIME_STEP)
+    events = event_features(spark, sf_dir).withColumn("Time", F.floor(F.col("Time") / step) * step)
+    model = fit_classifier(with_class_weight(events.drop(EVENT_KEY)), EVENT_FEATURES)
     loaded = load_model(save_model(model, scratch_path(spark, "event-model")))
-    out = run_stream_scoring(
-        spark, published_events(spark, sf_dir), scratch_path(spark, "stream-model"),
-        EVENT_FEATURES, loaded, passthrough=["label"],
+    out = complete(
+        run_stream_scoring(
+            spark, published_events(spark, sf_dir), scratch_path(spark, "stream-model"),
+            EVENT_FEATURES, loaded, passthrough=["label"],
+        )
+    )
+    batch = score(model, events).select(EVENT_KEY, "p_positive", F.col("prediction").alias("batch_prediction"))
+    both = out.sink.join(batch, EVENT_KEY, "left")
+    same = (F.abs(F.col("probability") - F.col("p_positive")) < 1e-12) & (F.col("prediction") == F.col("batch_prediction"))
+    wrong = F.when(F.col("kind") == "ok", ~F.coalesce(same, F.lit(False))).otherwise(F.col("prediction").isNotNull())
+    return both.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), F.count_if(wrong).alias("rows_differing"))
+
+
+# A constant scorer over the 30 features of the card layout.
+CARD_SCORER = LinearScorer(
+    intercept=-3.0, weights={"Time": 1e-4, "Amount": 1e-5} | {f"V{i}": 0.01 * i for i in range(1, 29)}, threshold=0.7
+)
+
+
+@register("card_messages_scored")
+def q_card_messages_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 30 features of the card layout: rows -> JSON messages -> parsed -> scored (SRC6)."""
+    rows = card_features(spark, sf_dir)
+    messages = encode_messages(rows, CARD_KEY, card_feature_names())
+    scored = score_messages(messages, card_feature_names(), CARD_SCORER)
+    return scored.filter(F.col("kind") == "ok").select(
+        F.col("__id").alias(CARD_KEY), F.round("probability", 6).alias("probability"), "prediction", "alert"
     )
-    return out.sink.select(EVENT_KEY, "kind", F.round("probability", 6).alias("probability"), "prediction")
 
 
 __all__ = ["QUERIES", "TXN_KEY", "TXN_SCORER", "EVENT_SCORER"]

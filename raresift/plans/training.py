@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from raresift.functions.expressions import DECISION_THRESHOLD, MAX_ITER, SEED, TRAIN_FRACTION, hash_key
 from raresift.functions.schema import LABEL, TARGET, WEIGHT, feature_columns
-from raresift.operators.clean import COPIES, clean_tally, sample_rows, tally_rows
+from raresift.operators.clean import clean_tally, sample_rows, tally_counts, tally_rows
 from raresift.operators.evaluate import binary_areas, confusion_matrix, evaluator_areas, sample_predictions
 from raresift.operators.model import fit_classifier, save_model, score
-from raresift.operators.persist import keep, materialize
+from raresift.operators.persist import discard, materialize
 from raresift.operators.profile import class_profile, with_class_weight
 from raresift.operators.split import SPLIT, with_split
 from raresift.sinks.writers import write_document, write_sample_csv
@@ -54,6 +54,7 @@ def run_training(
     target: str = TARGET,
     num_bins: int = 1000,
     view: str = "transactions",
+    sample_size: int = 50,
 ) -> TrainingResult:
     """Train and evaluate on ``raw`` (a table with a 0/1 ``target`` column).
 
@@ -65,58 +66,50 @@ def run_training(
     # Hash sample on the key (or on the whole row): reproducible on any
     # layout, and copies of a row are kept or dropped together.
     working = sample_rows(raw, sample_fraction, seed, key=key or list(raw.columns))
-    # One pass over the input: distinct rows with their copy counts are
-    # written once to the shared checkpoint folder.  The row count before
-    # cleaning is the sum of copies, and every later step (weights, profile,
-    # split, fit, metrics) re-reads this table, never the source.
+    # One pass over the input: the distinct complete rows with their copy
+    # counts are written once to the shared checkpoint folder, and every later
+    # step (weights, profile, split, fit, metrics) reads that table.
     tally = materialize(tally_rows(working), "tally")
-    rows_before = tally.agg(F.sum(COPIES)).scalar()
+    totals = tally_counts(tally, target).first()
     clean = clean_tally(tally, target, LABEL)
-    weighted = with_class_weight(clean, LABEL, WEIGHT)
-    profile = class_profile(spark, weighted, view)
+    weighted = with_class_weight(clean, LABEL, WEIGHT, (totals["rows_after_cleaning"], totals["positives"]))
+    profile = class_profile(spark, clean, view)
 
     features = feature_columns(weighted, exclude=(LABEL, WEIGHT), extra_exclude=key)
     split_key = hash_key(key if key else [c for c in clean.columns])
+    order_key = "_sample_key"
     flagged = with_split(weighted, split_key, train_fraction, seed)
-    train = flagged.filter(F.col(SPLIT) == "train").drop(SPLIT)
-    test = flagged.filter(F.col(SPLIT) == "test").drop(SPLIT)
-
-    # The optimiser makes one pass per iteration: keep the training rows
-    # (split hash and weight already applied) instead of recomputing them.
-    train = keep(train)
+    # The optimiser caches its own blocks of the training rows.
+    train = flagged.filter(F.col(SPLIT) == "train").select(*features, LABEL, WEIGHT)
     model = fit_classifier(train, features, max_iter=max_iter, threshold=decision_threshold)
-    train.unpersist()
     if model_output_dir:
         save_model(model, model_output_dir)
 
-    predictions = keep(score(model, test))
+    # Only what the metrics and the sample read is written, once.
+    test = flagged.filter(F.col(SPLIT) == "test").withColumn(order_key, split_key)
+    scored = score(model, test).select(order_key, *key, LABEL, "prediction", "rawPrediction", "p_positive")
+    predictions = materialize(scored, "predictions")
     # MLlib's binned areas group the sorted scores per partition, so they can
     # move with the cluster layout; the exact areas sit next to them.
     exact = binary_areas(predictions, "p_positive", LABEL).first()
-    roc, pr = evaluator_areas(
-        predictions, num_bins=num_bins, class_counts=(exact["positives"], exact["negatives"])
-    )
-    confusion = confusion_matrix(predictions)
-    order_key = "_sample_key"
-    sample = sample_predictions(predictions.withColumn(order_key, split_key), order_key, 50)
+    test_counts = (exact["positives"] or 0, exact["negatives"] or 0)
+    roc, pr = evaluator_areas(predictions, num_bins=num_bins, class_counts=test_counts)
+    sample = sample_predictions(predictions, order_key, sample_size)
 
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("rows_after_cleaning"),
-        F.count_if(F.col(SPLIT) == "train").alias("train_rows"),
-        F.count_if(F.col(SPLIT) == "test").alias("test_rows"),
-    )
     profile_rows = profile.agg(
-        F.array_sort(
-            F.collect_list(F.struct(F.col("label").cast("int").alias("label"), "transaction_count", "avg_amount", "max_amount"))
-        )
+        F.array_sort(F.collect_list(F.struct(F.col(LABEL).cast("int").alias("label"), *profile.columns[1:])))
     ).scalar()
-    confusion_rows = confusion.agg(F.array_sort(F.collect_list(F.struct("label", "prediction", "count")))).scalar()
-    summary = counts.select(
+    confusion_rows = (
+        confusion_matrix(predictions).agg(F.array_sort(F.collect_list(F.struct("label", "prediction", "count")))).scalar()
+    )
+    test_rows = predictions.agg(F.count(F.lit(1))).scalar()
+    after = F.lit(totals["rows_after_cleaning"]).cast("long")
+    summary = spark.range(1).select(
         F.lit(dataset_path).alias("dataset_path"),
-        rows_before.alias("rows_before_cleaning"),
-        "rows_after_cleaning",
-        "train_rows",
-        "test_rows",
+        F.lit(totals["rows_before_cleaning"]).cast("long").alias("rows_before_cleaning"),
+        after.alias("rows_after_cleaning"),
+        (after - test_rows).alias("train_rows"),
+        test_rows.alias("test_rows"),
         F.lit(float(sample_fraction)).alias("sample_fraction"),
         F.lit(int(max_iter)).alias("max_iter"),
         F.lit(float(decision_threshold)).alias("decision_threshold"),
@@ -127,10 +120,11 @@ def run_training(
         profile_rows.alias("sql_summary"),
         confusion_rows.alias("confusion_matrix"),
     )
+    # Computed once: the document and the returned frame are the same row.
+    summary = materialize(summary, "summary")
     if output_dir:
         out = output_dir.rstrip("/")
         write_sample_csv(sample, f"{out}/sample_predictions")
         write_document(summary, f"{out}/summary")
-    # The returned frames stay valid (recomputed from the tally on use).
-    predictions.unpersist()
-    return TrainingResult(model, features, summary, predictions, roc, pr)
+    discard(tally)
+    return TrainingResult(model, features, summary, predictions.drop(order_key), roc, pr)

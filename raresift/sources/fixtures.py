@@ -49,6 +49,26 @@ def transactions(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataF
     return base.unionByName(base.filter(F.col("V1") == F.lit(DUPLICATED_QUANTITY)))
 
 
+CARD_KEY = "row_id"
+
+
+def card_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture C: all line items in the 30-column card layout (``Time, V1..V28, Amount``).
+
+    ``V1..V28`` are the digits after the point of multiples of the discount, tax
+    and quantity, so every column differs and any SQL engine derives the same.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    base = F.col("l_quantity") * 7 + F.col("l_discount") * 100 + F.col("l_tax") * 300
+    v = [((base * i) % 10).alias(f"V{i}") for i in range(1, 29)]
+    return li.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias(CARD_KEY),
+        F.datediff(F.to_date("l_shipdate"), F.lit(TIME_EPOCH).cast("date")).cast("double").alias("Time"),
+        *v,
+        F.col("l_extendedprice").alias("Amount"),
+    )
+
+
 def _epoch_micros(col: str):
     """Microseconds since 1970-01-01 of a zone-less timestamp, whatever the session zone."""
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})")

@@ -31,6 +31,11 @@ def arrival_order(sink: DataFrame) -> list[Column]:
     return ([F.col(ARRIVED)] if ARRIVED in sink.columns else []) + [F.col(ID).asc_nulls_last()]
 
 
+def _distinct(df: DataFrame, column: str) -> Column:
+    """How many values a column takes, as a scalar subquery: distinct rows, then a count."""
+    return df.select(column).distinct().agg(F.count(column)).scalar()
+
+
 def report_counts(sink: DataFrame, time_col: str = "Time") -> DataFrame:
     """One row of delivery counters (AGG8-AGG11).
 
@@ -45,7 +50,7 @@ def report_counts(sink: DataFrame, time_col: str = "Time") -> DataFrame:
     flagged = flagged_rows(sink)
     times = F.lit(None).cast("long")
     if time_col in sink.columns:
-        times = flagged.agg(F.count_distinct(time_col)).scalar()
+        times = _distinct(flagged, time_col)
     return (
         sink.agg(
             F.count_if(data).alias("total_messages_seen"),
@@ -56,8 +61,8 @@ def report_counts(sink: DataFrame, time_col: str = "Time") -> DataFrame:
             F.count_if(F.col("kind") == "bad").alias("bad_messages"),
         )
         .withColumn("frauds_distinct_time", times)
-        .withColumn("frauds_distinct_id", flagged.agg(F.count_distinct(ID)).scalar())
-        .withColumn("distinct_ids_seen", sink.filter(data).agg(F.count_distinct(ID)).scalar())
+        .withColumn("frauds_distinct_id", _distinct(flagged, ID))
+        .withColumn("distinct_ids_seen", _distinct(sink.filter(data), ID))
         .withColumn(
             "complete",
             F.coalesce(F.col("distinct_ids_seen") == F.col("sentinel_total_published"), F.lit(False)),

@@ -5,10 +5,18 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from raresift.functions.schema import feature_columns
-from raresift.operators.clean import clean_table, drop_duplicate_rows, drop_incomplete, sample_rows
+from raresift.operators.clean import (
+    COPIES,
+    clean_table,
+    clean_tally,
+    drop_duplicate_rows,
+    drop_incomplete,
+    sample_rows,
+    tally_counts,
+    tally_rows,
+)
 from raresift.operators.profile import (
     NO_POSITIVES,
-    class_counts,
     class_profile,
     class_weights,
     with_class_weight,
@@ -52,8 +60,10 @@ def test_hash_sample_is_layout_independent(spark):
 
 def test_class_weight_value(spark):
     clean = clean_table(transactions(spark, SF_MID))
-    c = class_counts(clean).first()
+    c = tally_counts(tally_rows(transactions(spark, SF_MID))).first()
     expected = math.sqrt(c["negatives"] / c["positives"])
+    given = with_class_weight(clean, counts=(c["rows_after_cleaning"], c["positives"]))
+    assert given.filter(F.col("label") == 1).first()["weight"] == pytest.approx(expected, rel=1e-12)
     w = with_class_weight(clean).filter(F.col("label") == 1).select("weight").distinct().collect()
     assert len(w) == 1 and w[0][0] == pytest.approx(expected, rel=1e-12)
     assert round(expected, 6) == 30.588941
@@ -65,6 +75,10 @@ def test_class_weight_without_positives_fails_by_name(spark):
     clean = clean_table(transactions(spark, SF_SMALL)).filter(F.col("label") == 0)
     with pytest.raises(Exception) as err:
         with_class_weight(clean).collect()
+    with pytest.raises(ValueError, match="NO_POSITIVE_ROWS"):
+        with_class_weight(clean, counts=(10, 0))
+    with pytest.raises(Exception, match="NO_POSITIVE_ROWS"):
+        class_weights(clean).collect()
     assert NO_POSITIVES.split(":")[0] in str(err.value)
 
 
@@ -73,6 +87,9 @@ def test_class_profile_sql(spark):
     rows = class_profile(spark, clean).collect()
     assert [r["label"] for r in rows] == [0, 1]
     assert sum(r["transaction_count"] for r in rows) == 56201
+    assert not spark.catalog.tableExists("transactions")
+    other = class_profile(spark, clean, group="V1", measures=[("least", "min", "Amount")], digits=1)
+    assert other.columns == ["V1", "transaction_count", "least"] and other.count() == 50
 
 
 def test_feature_list_excludes_label_weight_and_key(spark):
@@ -81,22 +98,17 @@ def test_feature_list_excludes_label_weight_and_key(spark):
 
 
 def test_tally_cleaning_equals_clean_table(spark):
-    from raresift.operators.clean import COPIES, clean_tally, tally_rows
-
     raw = transactions(spark, SF_MID)
     tally = tally_rows(raw)
     assert tally.agg(F.sum(COPIES)).first()[0] == 61205
     a = clean_table(raw)
     b = clean_tally(tally)
     assert a.columns == b.columns
+    assert tally.filter("Class IS NULL").count() == 1  # all incomplete rows
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_positives_and_keyless_sample(spark):
-    from raresift.operators.profile import positives
-
-    clean = clean_table(transactions(spark, SF_MID))
-    assert positives(clean).count() == class_counts(clean).first()["positives"] == 60
+def test_keyless_sample(spark):
     raw = transactions(spark, SF_SMALL)
     s = sample_rows(raw, 0.5, seed=7)  # no key: Spark's seeded Bernoulli sample
     assert 0.35 * raw.count() < s.count() < 0.65 * raw.count()

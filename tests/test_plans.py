@@ -2,16 +2,23 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
 from conftest import SF_SMALL
+from raresift.operators.clean import clean_tally, tally_rows
+from raresift.operators.persist import materialize
+from raresift.operators.profile import class_profile
 from raresift.plans.queries import QUERIES
+from raresift.sources.fixtures import transactions
+from raresift.streaming.report import report_counts
 
 BATCH = [
     "clean_transactions", "clean_counts", "class_profile", "class_weights", "sample_fraction",
     "train_test_counts", "score_closed_form", "confusion_matrix", "sample_predictions",
-    "flagged_alerts", "auc_roc", "encode_events", "decode_events",
+    "flagged_alerts", "auc_roc", "auc_pr", "encode_events", "decode_events", "card_messages_scored",
+    "event_time_positions",
 ]
 
 
@@ -40,9 +47,25 @@ def test_scans_are_pruned(plans):
     assert "ReadSchema: struct<event_type:string,value:double>" in plans["auc_roc"]
 
 
+def test_profile_reads_two_columns_of_the_cleaned_table(spark):
+    tally = materialize(tally_rows(transactions(spark, SF_SMALL)), "tally")
+    text = plan(class_profile(spark, clean_tally(tally)))
+    assert re.findall(r"ReadSchema: (\S+)", text) == ["struct<Amount:double,Class:int>"]
+
+
+def test_class_weights_read_the_input_once(plans):
+    tree = plans["class_weights"].split("\n\n")[0]
+    assert tree.count("Scan parquet") == 2  # the two sides of the fixture's union
+
+
+def test_report_counts_copy_no_rows(spark):
+    sink = spark.createDataFrame([], "kind string, prediction double, Time double, __id long, total_published long")
+    assert "Expand" not in plan(report_counts(sink))
+
+
 def test_filters_reach_the_scan(plans):
     assert "PushedFilters: [IsNotNull(l_quantity), EqualTo(l_quantity,7.0)]" in plans["clean_transactions"]
-    assert "In(event_id, [5,50,500])" in plans["decode_events"]
+    assert "Not(In(event_id, [13,17,19,23,29,31,37]))" in plans["decode_events"]
 
 
 def test_sample_and_split_are_narrow(plans):
