@@ -147,7 +147,6 @@ def serialized(records: DataFrame) -> Column:
 
 def write_warc(records: DataFrame, folder: str) -> None:
     """Write records as gzip-compressed WARC files, one a partition, in the folder."""
-    (
-        records.select(serialized(records).alias("value"))
-        .write.option("lineSep", "").option("compression", "gzip").text(folder)
-    )
+    # the two line ends after a record are the writer's separator
+    whole = F.regexp_replace(serialized(records), r"\r\n\r\n\z", "")
+    records.select(whole.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
