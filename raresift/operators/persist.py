@@ -33,5 +33,5 @@ def discard(df: DataFrame) -> None:
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
