@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from raresift.llm._ship import ship
 from raresift.llm._text import column, text_bytes, text_slices
+from raresift.operators.persist import discard
 from raresift.session import scratch_path
 
 SHARD_BYTES = 1 << 20
@@ -78,7 +79,7 @@ def shard_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[ShardRow]:
 
 
 class ShardStore:
-    """A written table of shards; ``drop`` forgets the table's name."""
+    """A written table of shards; ``drop`` deletes it."""
 
     def __init__(self, spark: SparkSession, name: str, parts: int, total_bytes: int, others: pa.Schema):
         self.spark, self.name, self.parts, self.total_bytes, self.others = spark, name, parts, total_bytes, others
@@ -158,7 +159,10 @@ class ShardStore:
         finally:
             self.spark.conf.set(key, before)
 
-    def drop(self) -> None:
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete the shards, and tables written on the way to a result that is written itself."""
+        for table in (self.read(), *tables):
+            discard(table)
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
     def buckets(self, bytes_per_text_byte: float) -> int:

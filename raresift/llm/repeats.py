@@ -77,7 +77,7 @@ def remove_repeated(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     store = ShardStore.write(rows, "doc_id")
-    answers, before = None, None
+    answers, before, written = None, None, []
     with store.joins():
         for length in levels(window):
             # windows of a length that are smallest in some full window: two of as many as it has, plus one
@@ -88,8 +88,9 @@ def remove_repeated(
             answers = exchange(sent, repeated_keys)
             if length < window:
                 answers, before = materialize(answers, f"repeats-{length}"), length
+                written.append(answers)
         result = materialize(store.answered(answers).mapInArrow(_cut(window), RESULT_SCHEMA), "repeats")
-    store.drop()
+    store.drop(*written)
     return result
 
 

@@ -82,7 +82,7 @@ def _dedup(docs: DataFrame, length: int, task, schema: str | StructType) -> Data
         texts = materialize(shards.mapInArrow(_send_texts(length, buckets), MESSAGE_SCHEMA), "piece-texts")
         shards = store.answered(exchange(texts, _settle_texts(length)), texts)
         result = materialize(shards.mapInArrow(task, schema), "kept")
-    store.drop()
+    store.drop(pieces, texts)
     return result
 
 
