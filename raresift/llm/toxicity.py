@@ -2,10 +2,9 @@
 
 Fitting: tokens (words and their first letters) get log-odds between toxic
 and other labelled documents with an informative Dirichlet prior; those far
-enough from zero in standard deviations form the lexicon.  Scoring: a word
-counts its best token's weight (log-odds at the cautious end) where the
-document has it first, or a small loss; all maximal segments with a positive
-sum are found in one linear scan (Ruzzo and Tompa).  By Karlin-Altschul
+enough from zero in standard deviations form the lexicon.  Scoring: every
+word counts its best token's weight (log-odds at the cautious end), wherever
+it occurs, or a small loss; all maximal segments with a positive sum are found in one linear scan (Ruzzo and Tompa).  By Karlin-Altschul
 statistics a segment of score S in n words is expected K n exp(-lambda S)
 times by chance; segments expected less than ``MAX_EXPECTED`` times are
 passages, and a document's evidence is the sum of their -ln E.  A logistic
@@ -113,12 +112,6 @@ def passages(model: ToxicityModel, texts: pa.Array) -> list[list[tuple[int, int,
         np.maximum.at(weight, index[true], found)
     hits = np.flatnonzero(weight > 0)
     doc = np.searchsorted(first, hits, side="right") - 1
-    # a word that a document repeats is evidence once
-    words = hash_words(data, starts[hits], ends[hits])
-    by = np.lexsort((hits, words, doc))
-    again = np.zeros(len(hits), bool)
-    again[by[1:]] = (words[by[1:]] == words[by[:-1]]) & (doc[by[1:]] == doc[by[:-1]])
-    hits, doc = hits[~again], doc[~again]
     out: list[list[tuple[int, int, float, float]]] = [[] for _ in range(len(first) - 1)]
     bytes_before = text_bytes(texts)[1]
     for d in np.unique(doc).tolist():

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -15,6 +16,7 @@ import corpus_pipeline
 from conftest import SF_SMALL
 from llm_fixtures import documents, tokenizer  # noqa: F401  (fixtures)
 from raresift.llm._components import components
+from raresift.llm._text import hash_words
 from raresift.llm.decontaminate import CHUNK_BYTES, find_contamination, longest_matches, remove_contaminated
 from raresift.llm.embeddings import near_duplicate_vectors
 from raresift.llm.near_duplicates import near_duplicates, remove_near_duplicates, spanning_forest
@@ -23,7 +25,9 @@ from raresift.llm.quality import STATISTICS, fit_quality, score_quality, statist
 from raresift.llm.repeats import levels, remove_repeated
 from raresift.llm.suffix_dedup import remove_repeated_strings, rewrite_without_repeats
 from raresift.llm.token_files import Reader, Writer, from_planes, to_planes, token_files_round_trip
-from raresift.llm.toxicity import fit_toxicity, maximal_segments, remove_toxic, score_toxicity, toxic_passages
+from raresift.llm.toxicity import (
+    ToxicityModel, _words, fit_toxicity, maximal_segments, passages, remove_toxic, score_toxicity, toxic_passages,
+)
 from raresift.llm.warc import derivatives, responses_of_pages, write_warc
 from raresift.session import scratch_path
 
@@ -456,6 +460,20 @@ def test_maximal_segments_are_those_of_the_definition():
         assert max((x[2] for x in got), default=0) == max((x[2] for x in brute(0, len(scores))), default=0)
 
 
+def test_repeated_words_count_in_passages():
+    words = [f"bad{i}" for i in range(8)]
+    data, starts, ends, _ = _words(pa.array([" ".join(words)]))
+    tokens = hash_words(data, starts, ends)
+    model = ToxicityModel(np.sort(tokens), np.full(8, 2.0), 1.0, -3.0, 2.0)
+    plain, dense = " ".join(["some plain text"] * 100), " ".join(words)
+    scattered = " ".join(f"{plain} {w}" for w in words) + f" {plain} "
+    found = passages(model, pa.array([scattered, scattered + dense, f"{dense} {plain} {dense}", f"x {'bad3 ' * 11}y", None]))
+    assert [len(f) for f in found] == [0, 1, 2, 1, 0]
+    assert found[1][0][:3] == (len(scattered), len(scattered + dense), 16.0)
+    assert [f[:2] for f in found[2]] == [(0, len(dense)), (len(f"{dense} {plain} "), len(f"{dense} {plain} {dense}"))]
+    assert found[3][0][:3] == (2, 2 + 11 * 5 - 1, 22.0)
+
+
 def test_toxicity_on_held_out_rows(spark, labelled, documents):
     docs, labels = labelled
     model = fit_toxicity(docs, labels)
