@@ -9,12 +9,16 @@ sorted lists of sampled suffix keys are merged by binary search:
    32-byte strings inside it.  Shards exchange their distinct keys; only
    windows whose key another shard holds stay open.
 2. Neighbouring open windows with one key make a piece.  Shards exchange
-   (key, hash of the piece's text, smallest document): equal pieces belong to
-   the earliest document, and keys with one piece are settled.
-3. The text of pieces that share a key with a different piece goes to the
-   key's bucket, whose suffix array settles each window.
-
-Texts stay where they are except for those open pieces.
+   (key, hash of the piece's text, smallest document), one record for each
+   key: equal pieces belong to the earliest document, and keys with one piece
+   are settled.  A shard that holds different pieces with a key says only that.
+3. Windows of pieces that share a key with a different piece go through step 2
+   again with keys of longer strings, at last of the whole window.  A shard
+   holds a window once by then, so a string in any number of documents costs
+   one record a shard at every length, and what different documents have
+   round a short string they share spreads over all buckets.
+
+Texts stay where they are.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from raresift.llm._shards import (
-    MESSAGE_SCHEMA, OWN, ShardRow, ShardStore, answered_keys, exchange, merged, message, messages, repeated_keys, runs_of,
+    BUCKET_BYTES, MESSAGE_SCHEMA, OWN, ShardRow, ShardStore, answered_keys, exchange, merged, message, messages, repeated_keys, runs_of,
     shard_rows, to_senders, within,
 )
 from raresift.llm._suffix import common_prefixes, pack_bytes, suffix_array
@@ -42,6 +46,10 @@ SAMPLE = 32
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 #: Keys of every byte's windows, as a share of the bytes.
 DENSITY = 0.03
+#: The bucket of a shard's number of open windows.
+OPEN = -2
+#: Key, hash, document and mark of a piece.
+PIECE_BYTES = 25
 
 _BYTE_IDS = mix(np.arange(1, 257, dtype=np.uint64) * MIX_A)
 
@@ -78,14 +86,27 @@ def _dedup(docs: DataFrame, length: int, task, schema: str | StructType) -> Data
         answers = exchange(sent, repeated_keys)
         shards = store.answered(answers)
         pieces = materialize(shards.mapInArrow(_send_pieces(length, buckets), MESSAGE_SCHEMA), "pieces")
-        shards = store.answered(exchange(pieces, _settle_pieces), pieces)
-        texts = materialize(shards.mapInArrow(_send_texts(length, buckets), MESSAGE_SCHEMA), "piece-texts")
-        shards = store.answered(exchange(texts, _settle_texts(length)), texts)
-        result = materialize(shards.mapInArrow(task, schema), "kept")
-    store.drop(pieces, texts)
+        tables = [pieces]
+        for sample in _samples(length)[1:]:
+            counted = pieces.filter(F.col("bucket") == OPEN).agg(F.sum(F.col("payload").cast("string").cast("long"))).first()[0]
+            buckets = max(1, int((counted or 0) * PIECE_BYTES * min(1, 2 / (length - sample + 2))) // BUCKET_BYTES)
+            pieces = materialize(_settled(store, pieces).mapInArrow(_send_longer(length, sample, buckets), MESSAGE_SCHEMA), "pieces")
+            tables.append(pieces)
+        result = materialize(_settled(store, pieces).mapInArrow(task, schema), "kept")
+    store.drop(*tables)
     return result
 
 
+def _samples(length: int) -> list[int]:
+    """Lengths of the strings whose least hash is a window's key, step by step."""
+    return sorted({SAMPLE, length - (length - SAMPLE) // 2, length - (length - SAMPLE) // 6, length})
+
+
+def _settled(store: ShardStore, pieces: DataFrame) -> DataFrame:
+    sent = pieces.filter(F.col("bucket") != OPEN)
+    return store.answered(exchange(sent, _settle_pieces), sent)
+
+
 def _send_keys(length: int, buckets: int):
     """Level 1: the distinct keys of a shard."""
 
@@ -124,106 +145,84 @@ def _send_pieces(length: int, buckets: int):
             known = within(mixed[new], answered_keys(row.answers))
             kept = known[np.cumsum(new) - 1] if len(mixed) else np.zeros(0, bool)
             open_, mixed = open_[kept], mixed[kept]
-            doc = np.searchsorted(row.offsets, open_, side="right") - 1
-            begins = np.ones(len(open_), bool)
-            begins[1:] = (open_[1:] != open_[:-1] + 1) | (mixed[1:] != mixed[:-1]) | (doc[1:] != doc[:-1])
-            begins = np.flatnonzero(begins)
-            start = open_[begins]
-            count = np.diff(np.append(begins, len(open_)))
-            key, ids = mixed[begins], _order_ids(row)[doc[begins]]
-            text = hashes.spans(start, start + count + length - 1)
-            by = np.argsort(key, kind="stable")
-            batch, cuts = message(row, key[by], [text[by], ids[by]], buckets)
-            yield batch
-            gone = _marked(len(row.data), at, shared)
-            own = _pack([*runs_of(gone), start[by], count[by], ids[by], cuts, key[by].view(np.int64)])
-            yield messages(row, np.array([OWN]), [own])
+            yield from _pieces(row, hashes, length, _marked(len(row.data), at, shared), open_, mixed, None, buckets)
 
     return send
 
 
+def _pieces(
+    row: ShardRow, hashes: Windows, length: int, gone: np.ndarray, open_: np.ndarray, mixed: np.ndarray, keys: np.ndarray | None, buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """Messages about the pieces of the open windows; ``keys`` (of all windows) stand for the texts of single windows."""
+    doc = np.searchsorted(row.offsets, open_, side="right") - 1
+    begins = np.ones(len(open_), bool)
+    begins[1:] = (open_[1:] != open_[:-1] + 1) | (mixed[1:] != mixed[:-1]) | (doc[1:] != doc[:-1])
+    begins = np.flatnonzero(begins)
+    start = open_[begins]
+    count = np.diff(np.append(begins, len(open_)))
+    key, ids = mixed[begins], _order_ids(row)[doc[begins]]
+    text = hashes.spans(start, start + count + length - 1) if keys is None else keys[start]
+    by = np.argsort(key, kind="stable")
+    # pieces of one shard with one key differ
+    lead, many = _key_runs(key[by])
+    batch, cuts = message(row, key[by][lead], [text[by][lead], ids[by][lead], (many > 1).astype(np.uint8)], buckets)
+    yield batch
+    own = _pack([*runs_of(gone), start[by], count[by], cuts, key[by].view(np.int64)])
+    yield messages(row, np.array([OWN, OPEN]), [own, str(len(open_)).encode()])
+
+
+def _key_runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begins, sizes) of the runs of equal keys."""
+    begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return begins, np.diff(np.append(begins, len(key)))
+
+
 def _settle_pieces(payloads: list[bytes]) -> list[bytes]:
-    """Of each piece: 2 if an equal one comes earlier, 1 if it is first of several kinds with its key, else 0."""
-    sender, (key, text, ids) = merged(payloads, ["<u8", "<u8", "<i8"])
-    by = np.lexsort((sender, ids, text, key))
+    """Of each key's piece: 2 if an equal one comes earlier, 1 if it is first of several kinds with its key, else 0.
+
+    A sender that holds several kinds itself gets 1 for all of them.
+    """
+    sender, (key, text, ids, many) = merged(payloads, ["<u8", "<u8", "<i8", "u1"])
+    by = np.lexsort((sender, ids, text, many, key))
+    several = many[by] > 0
     key_new = np.concatenate([[True], key[by][1:] != key[by][:-1]])
-    text_new = key_new | np.concatenate([[True], text[by][1:] != text[by][:-1]])
+    text_new = key_new | several | np.concatenate([[True], text[by][1:] != text[by][:-1]])
     group = np.cumsum(key_new) - 1
     kinds = np.bincount(group[text_new])
     status = np.empty(len(key), np.uint8)
-    status[by] = np.where(~text_new, 2, np.where(kinds[group] > 1, 1, 0))
+    status[by] = np.where(~text_new, 2, np.where(several | (kinds[group] > 1), 1, 0))
     return to_senders(sender, len(payloads), [status])
 
 
-def _send_texts(length: int, buckets: int):
-    """Level 3: the texts of pieces that aren't settled."""
+def _open(row: ShardRow, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(mask of the bytes to remove, windows still open) by what the last step settled."""
+    gone_start, gone_end, start, count, cuts, key = _unpack(row.own)
+    _, many = _key_runs(key)
+    status = np.zeros(len(many), np.uint8)
+    for answer in row.answers:
+        bucket = struct.unpack_from("<q", answer)[0]
+        status[cuts[bucket] : cuts[bucket + 1]] = np.frombuffer(answer, np.uint8, offset=8)
+    status = np.repeat(status, many)
+    first, left = status == 2, status == 1
+    gone = _marked(len(row.data), gone_start, gone_end - gone_start)
+    gone |= _marked(len(row.data), start[first], count[first] + length - 1)
+    start, count = start[left], count[left]
+    return gone, np.sort(np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count))
+
+
+def _send_longer(length: int, sample: int, buckets: int):
+    """Level 3: the pieces of the windows that aren't settled, by keys of ``sample`` bytes."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in shard_rows(batches):
-            gone_start, gone_end, start, count, ids, cuts, key = _unpack(row.own)
-            status = np.zeros(len(start), np.uint8)
-            for answer in row.answers:
-                bucket = struct.unpack_from("<q", answer)[0]
-                status[cuts[bucket] : cuts[bucket + 1]] = np.frombuffer(answer, np.uint8, offset=8)
-            gone = _marked(len(row.data), gone_start, gone_end - gone_start)
-            first = status == 2
-            gone |= _marked(len(row.data), start[first], count[first] + length - 1)
-            left = np.flatnonzero(status == 1)
-            bucket = np.searchsorted(cuts, left, side="right") - 1
-            which, begins = np.unique(bucket, return_index=True)
-            payloads, ends = [], np.append(begins[1:], len(left))
-            for a, b in zip(begins, ends):
-                some = left[a:b]
-                texts = [row.data[s : s + c + length - 1].tobytes() for s, c in zip(start[some].tolist(), count[some].tolist())]
-                payloads.append(_pack([ids[some], count[some], np.frombuffer(b"".join(texts), np.uint8)]))
-            yield messages(row, which, payloads)
-            own = _pack([*runs_of(gone), start[left], count[left], which, np.append(begins, len(left))])
-            yield messages(row, np.array([OWN]), [own])
+            gone, open_ = _open(row, length)
+            hashes, keys, _ = _windows(row, length)
+            longer = slide(hashes.of(sample), length - sample + 1, np.minimum) if len(keys) else keys
+            yield from _pieces(row, hashes, length, gone, open_, mix(longer[open_]), keys if sample == length else None, buckets)
 
     return send
 
 
-def _settle_texts(length: int):
-    def settle(payloads: list[bytes]) -> list[bytes]:
-        """Of each window of the pieces: whether the same string starts in an earlier document."""
-        parts = [_unpack(p) for p in payloads]
-        ids = np.concatenate([p[0] for p in parts])
-        count = np.concatenate([p[1] for p in parts])
-        data = np.concatenate([p[2] for p in parts]).astype(np.uint8)
-        sender = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-        size = count + length - 1
-        offsets = np.concatenate([[0], np.cumsum(size)])
-        order, rank = suffix_array(pack_bytes(data), 8, length)
-        # windows by string, then by document, shard and place
-        piece = np.repeat(np.arange(len(ids)), count)
-        at = np.arange(len(piece)) + np.repeat(offsets[:-1] - (np.cumsum(count) - count), count)
-        age = np.empty(len(ids), np.int64)
-        age[np.lexsort((sender, ids))] = np.arange(len(ids))
-        string = rank[at]
-        by = np.lexsort((at, age[piece], string))
-        later = np.ones(len(at), bool)
-        later[by] = np.concatenate([[False], string[by][1:] == string[by][:-1]])
-        return to_senders(sender[piece], len(parts), [later])
-
-    return settle
-
-
-def _removed(row: ShardRow, length: int) -> np.ndarray:
-    """Mask of the bytes to remove, from what the levels settled."""
-    gone_start, gone_end, start, count, which, cuts = _unpack(row.own)
-    gone = _marked(len(row.data), gone_start, gone_end - gone_start)
-    slots = {int(w): i for i, w in enumerate(which.tolist())}
-    found = [np.zeros(0, np.int64)]
-    for answer in row.answers:
-        slot = slots[struct.unpack_from("<q", answer)[0]]
-        later = np.frombuffer(answer, np.bool_, offset=8)
-        some_start, some_count = start[cuts[slot] : cuts[slot + 1]], count[cuts[slot] : cuts[slot + 1]]
-        at = np.arange(len(later)) + np.repeat(some_start - (np.cumsum(some_count) - some_count), some_count)
-        found.append(at[later])
-    windows = np.concatenate(found)
-    return gone | _marked(len(row.data), windows, np.full(len(windows), length))
-
-
 def _marked(n: int, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Mask over n bytes: those inside [start, start + size) of any run."""
     step = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(starts + sizes, minlength=n + 1)[: n + 1]
@@ -267,7 +266,7 @@ def remove_repeated_strings(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in shard_rows(batches):
-            gone = _removed(row, length)
+            gone, _ = _open(row, length)
             others, offsets = row.others(), row.offsets
             edge = np.zeros(len(gone) + 1, bool)
             edge[offsets] = True
@@ -301,7 +300,7 @@ def rewrite_without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in shard_rows(batches):
-            gone = _removed(row, length)
+            gone, _ = _open(row, length)
             lead = np.flatnonzero((row.data & 0xC0) != 0x80)
             if len(lead):
                 gone = np.repeat(np.minimum.reduceat(gone.astype(np.uint8), lead) > 0, np.diff(np.append(lead, len(gone))))

@@ -16,14 +16,17 @@ import corpus_pipeline
 from conftest import SF_SMALL
 from llm_fixtures import documents, tokenizer  # noqa: F401  (fixtures)
 from raresift.llm._components import components
-from raresift.llm._text import hash_words
+from raresift.llm._shards import repeated_keys, unpack
+from raresift.llm._text import hash_words, text_bytes
 from raresift.llm.decontaminate import CHUNK_BYTES, find_contamination, longest_matches, remove_contaminated
 from raresift.llm.embeddings import near_duplicate_vectors
 from raresift.llm.near_duplicates import near_duplicates, remove_near_duplicates, spanning_forest
 from raresift.llm.packing import first_fit_decreasing, pack
 from raresift.llm.quality import STATISTICS, fit_quality, score_quality, statistics
 from raresift.llm.repeats import levels, remove_repeated
-from raresift.llm.suffix_dedup import remove_repeated_strings, rewrite_without_repeats
+from raresift.llm.suffix_dedup import (
+    _send_keys, _send_longer, _send_pieces, _settle_pieces, remove_repeated_strings, rewrite_without_repeats,
+)
 from raresift.llm.token_files import Reader, Writer, from_planes, to_planes, token_files_round_trip
 from raresift.llm.toxicity import (
     ToxicityModel, _words, fit_toxicity, maximal_segments, passages, remove_toxic, score_toxicity, toxic_passages,
@@ -161,6 +164,51 @@ def test_suffix_dedup(spark, documents, length):
     assert remove_repeated_strings(documents.limit(0)).count() == 0
 
 
+def test_a_string_in_many_documents_costs_a_record_a_shard():
+    header, length, shards = "-".join(f"h{i}" for i in range(12))[:40], 50, []
+    for part in range(2):
+        texts = pa.array([f"{part}{i:04d}" * 12 + header + f"{i:04d}{part}" * 12 for i in range(300)])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, pa.schema([("doc_id", pa.int64())])) as writer:
+            writer.write_batch(pa.RecordBatch.from_arrays([pa.array(range(part, 600, 2), pa.int64())], ["doc_id"]))
+        data, offsets = text_bytes(texts)
+        shards.append(
+            pa.RecordBatch.from_pylist(
+                [{"part": part, "shard": part, "data": data.tobytes(), "offsets": offsets.astype(np.int64).tobytes(),
+                  "rows": sink.getvalue().to_pybytes()}]
+            )
+        )
+
+    def step(send, settle, batches):
+        sent = [r for b in batches for m in send(iter([b])) for r in m.to_pylist()]
+        answers = {0: [], 1: []}
+        for bucket in sorted({r["bucket"] for r in sent if r["bucket"] >= 0}):
+            mine = [r for r in sent if r["bucket"] == bucket]
+            for r, x in zip(mine, settle([r["payload"] for r in mine]), strict=True):
+                answers[r["shard"]] += [bucket.to_bytes(8, "little") + x] if x else []
+        own = {r["shard"]: r["payload"] for r in sent if r["bucket"] == -1}
+        plain = [b.to_pylist()[0] for b in shards]
+        nexts = [pa.RecordBatch.from_pylist([{**p, "answers": answers[k], "own": own.get(k)}]) for k, p in enumerate(plain)]
+        return nexts, [r for r in sent if r["bucket"] >= 0]
+
+    batches, _ = step(_send_keys(length, 8), repeated_keys, shards)
+    batches, pieces = step(_send_pieces(length, 8), _settle_pieces, batches)
+    keys = [k for r in pieces for k in unpack(r["payload"], ["<u8", "<u8", "<i8", "u1"])[0].tolist()]
+    assert keys and max(Counter(keys).values()) <= 2
+    _, longer = step(_send_longer(length, 41, 8), _settle_pieces, batches)
+    keys = [k for r in longer for k in unpack(r["payload"], ["<u8", "<u8", "<i8", "u1"])[0].tolist()]
+    # what hangs on a few keys is dealt evenly
+    assert len(set(keys)) > 600 and max(Counter(k >> 61 for k in keys).values()) < len(keys) / 4
+
+
+def test_strings_round_a_shared_header(spark):
+    header = "-".join(f"h{i}" for i in range(30))
+    rows = [(i, f"{i % 7}{i:03d}" * 9 + header[: 40 + i % 50] + f"{i % 5}tail" * 9) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: bytes(r.kept) for r in remove_repeated_strings(df, 50).collect()}
+    assert got == {i: x[3] for i, x in brute_strings(rows, 50).items()}
+
+
 def test_suffix_dedup_of_repeated_rows_keeps_one(spark):
     text = "some text that is long enough to count " * 5
     df = spark.createDataFrame([(1, text)] * 3, "doc_id long, text string")
