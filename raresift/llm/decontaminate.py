@@ -26,7 +26,7 @@ from raresift.operators.persist import materialize
 WINDOW = 10
 CHUNK_BYTES = 8 << 20
 SHARD_BYTES = 2 << 20
-#: Depth in words to which shards are sorted, and so the longest match that is told apart.
+#: Depth in words to which shards are sorted; longer matches are compared word by word.
 DEPTH = 64
 
 RESULT_SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -120,20 +120,34 @@ class Shard:
         step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
         return self.order[np.repeat(low[found], many) + step].astype(np.int64), np.repeat(found, many)
 
-    def longest(self, items: Items) -> tuple[np.ndarray, np.ndarray]:
-        """(place, length) of the longest match of every item suffix, up to DEPTH words."""
+    def longest(self, items: Items, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(suffix, place, length) of all longest matches of every item suffix that has one of ``least`` words."""
         n = len(items.suffix)
-        if not len(self.order):
-            return np.zeros(n, np.int64), np.zeros(n, np.int64)
+        if not len(self.order) or not n:
+            return (np.zeros(0, np.int64),) * 3
         width = np.full(n, DEPTH, np.int64)
         low = self.bounds(items.ids, items.suffix, width, right=False)
-        best, place = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        best = np.zeros(n, np.int64)
         for side in (0, -1):
             at = self.order[np.clip(low + side, 0, len(self.order) - 1)].astype(np.int64)
-            _, shared = self._compare(items.ids, items.suffix, at, width)
-            place = np.where(shared > best, at, place)
-            best = np.maximum(best, shared)
-        return place, best
+            best = np.maximum(best, self._compare(items.ids, items.suffix, at, width)[1])
+        # every place that shares as many words
+        some = np.flatnonzero(best >= max(1, min(least, DEPTH)))
+        first = self.bounds(items.ids, items.suffix[some], best[some], right=False)
+        many = self.bounds(items.ids, items.suffix[some], best[some], right=True) - first
+        step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        which = np.repeat(some, many)
+        place, length = self.order[np.repeat(first, many) + step].astype(np.int64), best[which]
+        # the array is sorted to DEPTH words: beyond, words are compared to the end
+        open_ = np.flatnonzero(length == DEPTH)
+        while len(open_):
+            mine, theirs = self.ids[place[open_] + length[open_]], items.ids[items.suffix[which[open_]] + length[open_]]
+            open_ = open_[(mine == theirs) & (mine != 0)]
+            length[open_] += 1
+        longest = np.zeros(n, np.int64)
+        np.maximum.at(longest, which, length)
+        good = length == longest[which]
+        return which[good], place[good], length[good]
 
 
 def _chunks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Iterator[Items]:
@@ -260,8 +274,8 @@ def longest_matches(
 ) -> DataFrame:
     """In each shard, where every benchmark suffix matches longest: item, document, starts and words.
 
-    Only matches of ``least`` words or more that another one doesn't extend
-    to the left; lengths are told apart up to DEPTH words.
+    Every place of a longest match is listed, whatever its length.  Only
+    matches of ``least`` words or more that don't go on to the left.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -271,16 +285,17 @@ def longest_matches(
         def search(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch in text_slices(batches, "text", SHARD_BYTES):
                 shard = Shard(column(batch, "text"))
-                place, length = shard.longest(items)
-                extends = np.zeros(len(place), bool)
-                extends[1:] = (items.suffix[1:] == items.suffix[:-1] + 1) & (length[1:] == length[:-1] - 1)
+                which, place, length = shard.longest(items, least)
+                # a match goes on to the left where the words before both are equal
+                left, mine = items.ids[items.suffix[which] - 1], shard.ids[place - 1]
+                extends = (items.suffix_start[which] > 0) & (place > 0) & (left == mine) & (left != 0)
                 good = np.flatnonzero((length >= least) & ~extends)
                 doc = np.searchsorted(shard.offsets, place[good], side="right") - 1
                 ids = column(batch, "doc_id").to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([items.item_ids[i] for i in items.suffix_item[good]], pa.string()),
-                        pa.array(items.suffix_start[good], pa.int64()),
+                        pa.array([items.item_ids[i] for i in items.suffix_item[which[good]]], pa.string()),
+                        pa.array(items.suffix_start[which[good]], pa.int64()),
                         pa.array([ids[d] for d in doc], pa.int64()),
                         pa.array(place[good] - shard.offsets[doc], pa.int64()),
                         pa.array(length[good], pa.int64()),

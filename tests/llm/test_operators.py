@@ -449,6 +449,16 @@ def test_longest_matches(spark, documents):
         assert words[r.doc_id][r.doc_start : r.doc_start + 12] == [f"w{k}" for k in range(100, 112)]
 
 
+def test_longest_matches_are_whole_and_in_every_document(spark):
+    passage = " ".join(f"p{k}" for k in range(300))
+    docs = spark.createDataFrame(
+        [(1, f"one {passage} end"), (2, f"{passage} two"), (3, f"x {passage}"), (4, passage[:200])], "doc_id long, text string"
+    ).coalesce(1)
+    bench = spark.createDataFrame([(7, f"head {passage} tail")], "item_id long, text string")
+    got = sorted(tuple(r) for r in longest_matches(docs, bench).collect())
+    assert got == [("7", 1, 1, 1, 300), ("7", 1, 2, 0, 300), ("7", 1, 3, 1, 300)]
+
+
 # ---- 7 and 9: classifiers -----------------------------------------------
 
 
