@@ -154,10 +154,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP12 = r"""
+WITH d AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM d WINDOW same AS (PARTITION BY text_sha256)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_embeddings": OP1,
     "op2_repeats": OP2,
     "op4_near_duplicates": OP4,
     "op5_warc": OP5,
     "op6_decontamination": OP6,
+    "op12_exact_dedup": OP12,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from raresift.llm._tokens import default_tokenizer
 from raresift.llm.decontaminate import find_contamination
 from raresift.llm.embeddings import near_duplicate_vectors
+from raresift.llm.exact_dedup import exact_duplicates
 from raresift.llm.near_duplicates import near_duplicates
 from raresift.llm.oracles import ORACLE
 from raresift.llm.packing import pack
@@ -80,6 +81,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the equal document that stays for them."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_repeats": op2_repeats,
@@ -91,4 +97,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_exact_dedup": op12_exact_dedup,
 }
