@@ -194,3 +194,26 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     step = np.bincount(starts, minlength=n + 1)[: n + 1]
     step -= np.bincount(np.minimum(starts + width, n), minlength=n + 1)[: n + 1]
     return np.cumsum(step)[:n] > 0
+
+
+def covered_spans(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Mask over n positions: those inside [start, end) of any pair."""
+    step = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(ends, minlength=n + 1)[: n + 1]
+    return np.cumsum(step)[:n] > 0
+
+
+def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, keep: np.ndarray) -> pa.Array:
+    """Each document's kept words, joined by one space."""
+    kept = np.flatnonzero(keep)
+    doc = np.searchsorted(first, kept, side="right") - 1
+    size = ends[kept] - starts[kept]
+    # every word but its document's first stands after a space
+    lead = np.concatenate([[False], doc[1:] == doc[:-1]])[: len(kept)].astype(np.int64)
+    to = np.cumsum(size + lead)
+    text = np.full(int(to[-1]) if len(to) else 0, 0x20, np.uint8)
+    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    text[np.repeat(to - size, size) + step] = data[np.repeat(starts[kept], size) + step]
+    n = len(first) - 1
+    bounds = np.concatenate([[0], np.bincount(doc, weights=size + lead, minlength=n).cumsum()]).astype(np.int64)
+    whole = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(text.tobytes())])
+    return whole.cast(pa.string())

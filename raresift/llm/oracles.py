@@ -162,6 +162,51 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM d WINDOW same AS (PARTITION BY text_sha256)
 """
 
+
+
+def _crc32(data: str) -> str:
+    """CRC-32 of a list of bytes."""
+    step = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {step}), 4294967295::BIGINT)"
+
+
+OP13 = f"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w,
+        {_crc32("list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)")} AS h
+    FROM documents
+), drawn AS (
+    SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM split
+), d AS (
+    SELECT doc_id, n, CASE WHEN a IS NULL THEN w
+        ELSE list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END + 1]) END AS w
+    FROM drawn
+), grams AS (
+    SELECT doc_id, n, i, md5(array_to_string(w[i + 1:i + 5], ' ')) AS k FROM (SELECT *, unnest(range(0, n - 4)) AS i FROM d WHERE n > 5)
+), pairs AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.k = y.k AND x.i < y.i AND 4 * (y.i - x.i) <= x.n
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs)
+    GROUP BY doc_id, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+    SELECT t.doc_id, string_agg(t.word, ' ' ORDER BY t.i) AS text
+    FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d) t ANTI JOIN gone g ON g.doc_id = t.doc_id AND g.i = t.i
+    GROUP BY t.doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+        first(struct_pack(s := start, l := length, p := period) ORDER BY length DESC, start, period) AS longest
+    FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, longest.s::BIGINT AS start, longest.l::BIGINT AS length, longest.p::BIGINT AS period,
+    (1000 * longest.l // longest.p)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_embeddings": OP1,
     "op2_repeats": OP2,
@@ -169,4 +214,5 @@ ORACLE: dict[str, str] = {
     "op5_warc": OP5,
     "op6_decontamination": OP6,
     "op12_exact_dedup": OP12,
+    "op13_periodic_runs": OP13,
 }

@@ -16,6 +16,7 @@ from raresift.llm.oracles import ORACLE
 from raresift.llm.packing import pack
 from raresift.llm.quality import fit_quality, score_quality
 from raresift.llm.repeats import remove_repeated
+from raresift.llm.runs import find_runs
 from raresift.llm.suffix_dedup import remove_repeated_strings
 from raresift.llm.token_files import token_files_round_trip
 from raresift.llm.toxicity import fit_toxicity, score_toxicity
@@ -86,6 +87,39 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; documents whose id's crc32 is divisible by 10 repeat a stretch of their words up to their end."""
+    drawn = F.crc32(F.col("doc_id").cast("string"))
+    split = F.when(drawn % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = docs.select("doc_id", "text", F.floor(drawn / 10).alias("g"), split.alias("words")).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.pmod("g", F.when(F.col("n") > 0, F.col("n"))).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    changed = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), F.col("n") - F.col("a")))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' periodic runs, after a tenth of them got a repeated tail."""
+    found = find_runs(repeated_tails(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # the longest run comes last by length, then by the smaller start, then by the smaller period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    rows = found.withColumn("longest", longest)
+    start, length, period = -F.col("longest.start"), F.col("longest.length"), -F.col("longest.period")
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_repeats": op2_repeats,
@@ -98,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
