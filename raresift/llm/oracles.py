@@ -154,6 +154,43 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+
+def _crc32(data: str) -> str:
+    """CRC-32 of a list of bytes."""
+    step = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {step}), 4294967295::BIGINT)"
+
+
+OP11 = f"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all({_AZ.format("text")}, '[a-z\u00c0-\u00ff]+')) AS run FROM documents) GROUP BY doc_id, run
+), drawn AS (
+    SELECT run, n, {_crc32("""flatten(list_transform(string_split(doc_id || ':' || run, ''),
+        lambda s: CASE WHEN ord(s) < 128 THEN [ord(s)::BIGINT] ELSE [195::BIGINT, ord(s)::BIGINT - 64] END))""")} AS h FROM runs
+), vocabulary AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+    FROM drawn GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), shorter AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+), near AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM shorter a JOIN vocabulary b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM shorter a JOIN vocabulary b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM near GROUP BY word
+), judged AS (
+    SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form,
+        CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n
+    FROM vocabulary v LEFT JOIN best USING (word)
+), followed(word, root) AS (
+    SELECT word, word FROM judged WHERE form IS NULL
+    UNION ALL
+    SELECT j.word, f.root FROM followed f JOIN judged j ON j.form = f.word
+)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN followed USING (word)
+"""
+
 OP12 = r"""
 WITH d AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
@@ -163,13 +200,6 @@ FROM d WINDOW same AS (PARTITION BY text_sha256)
 """
 
 
-
-def _crc32(data: str) -> str:
-    """CRC-32 of a list of bytes."""
-    step = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
-    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {step}), 4294967295::BIGINT)"
-
-
 OP13 = f"""
 WITH split AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w,
@@ -213,6 +243,7 @@ ORACLE: dict[str, str] = {
     "op4_near_duplicates": OP4,
     "op5_warc": OP5,
     "op6_decontamination": OP6,
+    "op11_spelling_variants": OP11,
     "op12_exact_dedup": OP12,
     "op13_periodic_runs": OP13,
 }

@@ -20,6 +20,7 @@ from raresift.llm.runs import find_runs
 from raresift.llm.suffix_dedup import remove_repeated_strings
 from raresift.llm.token_files import token_files_round_trip
 from raresift.llm.toxicity import fit_toxicity, score_toxicity
+from raresift.llm.variants import spelling_variants
 from raresift.llm.warc import derivatives, responses_of_pages, serialized
 
 
@@ -82,6 +83,27 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def altered_words(docs: DataFrame) -> DataFrame:
+    """(word, n) of the words of five letters or more that occur three times or more.
+
+    Of every 97th (document, word) the word loses one letter.  A null id has no digits.
+    """
+    az = "abcdefghijklmnopqrstuvwxyz"
+    lowered = F.translate("text", az.upper(), az)
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all(lowered, F.lit("[a-z\u00c0-\u00ff]+"), F.lit(0))).alias("run"))
+    drawn = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    runs = runs.withColumn("h", drawn)
+    place = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), place), F.substring("run", place + 2, F.length("run")))
+    words = runs.select(F.when(F.col("h") % 97 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("n")).filter("length(word) >= 5 AND n >= 3")
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of the documents with the more frequent word that each may be a variant of."""
+    return spelling_variants(altered_words(table(spark, sf_dir, "documents")))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the equal document that stays for them."""
     return exact_duplicates(table(spark, sf_dir, "documents"))
@@ -131,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
