@@ -107,16 +107,25 @@ def message_schema(feature_cols: Sequence[str], passthrough: Sequence[str] = ())
 
 
 def _problems(feature_cols: Sequence[str]) -> Column:
-    """Names of the fields that are missing, not numbers or NaN (FLT4)."""
+    """Names of the fields that are missing, not numbers or NaN (FLT4), from the texts ``_m`` and the numbers ``_f``."""
     checks = [
         F.when(F.col(f"_m.{c}").isNull(), F.lit(f"{c}:missing"))
-        .when(parse_double(F.col(f"_m.{c}")).isNull(), F.lit(f"{c}:not_a_number"))
-        .when(F.isnan(parse_double(F.col(f"_m.{c}"))), F.lit(f"{c}:nan"))
+        .when(F.col(f"_f.{c}").isNull(), F.lit(f"{c}:not_a_number"))
+        .when(F.isnan(F.col(f"_f.{c}")), F.lit(f"{c}:nan"))
         for c in feature_cols
     ]
     return F.concat_ws(",", *checks)
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is evaluated once per row, however often later columns and filters use it.
+
+    A column of a projection is copied into whatever reads it, a pushed
+    filter included; the one entry of a generated array isn't.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def decode_messages(
     messages: DataFrame,
     feature_cols: Sequence[str],
@@ -134,31 +143,29 @@ def decode_messages(
     """
     typed = feature_schema(feature_cols)
     schema = message_schema(feature_cols, passthrough)
-    parsed = messages.select(
-        *keep,
-        F.col(value_col).cast("string").alias("value"),
-        F.from_json(F.col(value_col).cast("string"), schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("_m"),
-    )
+    texts = messages.select(*keep, F.col(value_col).cast("string").alias("value"))
+    parsed = _once(texts, "_m", F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}))
+    numbers = [parse_double(F.col(f"_m.{f.name}")).cast(f.dataType).alias(f.name) for f in typed.fields]
+    parsed = _once(_once(parsed, "_f", F.struct(*numbers)), "_p", _problems(feature_cols))
     is_object = F.col("_m").isNotNull() & F.col(f"_m.{CORRUPT}").isNull()
     is_sentinel = is_object & (F.col(f"_m.{SENTINEL_FIELD}") == F.lit(SENTINEL_VALUE))
-    problems = _problems(feature_cols)
     kind = (
         F.when(~is_object | F.col("_m").isNull(), F.lit("bad"))
         .when(is_sentinel, F.lit("sentinel"))
-        .when(problems != F.lit(""), F.lit("invalid"))
+        .when(F.col("_p") != F.lit(""), F.lit("invalid"))
         .otherwise(F.lit("ok"))
     )
     reason = (
         F.when(~is_object | F.col("_m").isNull(), F.lit("not_a_json_object"))
         .when(is_sentinel, F.lit(None).cast("string"))
-        .when(problems != F.lit(""), problems)
+        .when(F.col("_p") != F.lit(""), F.col("_p"))
     )
     return parsed.select(
         *keep,
         F.col(f"_m.{ID}").try_cast("long").alias(ID),
         kind.alias("kind"),
         reason.alias("reason"),
-        *[parse_double(F.col(f"_m.{f.name}")).cast(f.dataType).alias(f.name) for f in typed.fields],
+        *[F.col(f"_f.{f.name}").alias(f.name) for f in typed.fields],
         *[F.col(f"_m.{c}").alias(c) for c in passthrough],
         F.when(is_sentinel, F.coalesce(F.col(f"_m.{TOTAL_FIELD}").try_cast("long"), F.lit(0)))
         .cast("long")

@@ -19,17 +19,16 @@ from pyspark.sql.types import StructType
 from raresift.functions.scoring import LinearScorer
 from raresift.operators.events import ID
 from raresift.sinks.writers import write_document, write_messages
+from raresift.streaming.lifecycle import StreamRun, with_kind_metrics
 from raresift.streaming.report import REPORT_CAP, flagged_rows, stream_report
 from raresift.streaming.scorer import (
     ARRIVED,
-    StreamRun,
     dedupe_deliveries,
     message_stream,
     run_bounded,
     run_until_drained,
     score_messages,
     start_sink,
-    with_kind_metrics,
 )
 
 
@@ -75,6 +74,7 @@ def run_stream_scoring(
     fmt: str = "text",
     options: dict[str, str] | None = None,
     max_offsets_per_trigger: int | None = None,
+    max_batches: int | None = None,
 ) -> ScoringOutput:
     """Score every message of ``source`` into ``work_dir/sink``.
 
@@ -86,7 +86,8 @@ def run_stream_scoring(
     cap unless one is given; a run that it cuts has ``finished = false`` in
     its report.  ``report_path`` gets the document, and ``report_path`` +
     ``-flagged`` the complete list of flagged deliveries as a table.
-    ``fmt``, ``options`` and ``max_offsets_per_trigger`` read a message bus
+    ``max_batches`` stops the run after so many batches; a later call with the
+    same ``work_dir`` goes on from there.  ``fmt``, ``options`` and ``max_offsets_per_trigger`` read a message bus
     instead of a folder.
     """
     work = work_dir.rstrip("/")
@@ -100,7 +101,7 @@ def run_stream_scoring(
         stream, sink_path, f"{work}/checkpoint", available_now=not live, processing_time=processing_time
     )
     follow = run_until_drained if live else run_bounded
-    run = follow(query, sink_path, max_runtime_seconds)
+    run = follow(query, sink_path, max_runtime_seconds, max_batches, spark)
     sink = read_sink(spark, sink_path, stream.schema)
     report = stream_report(sink, feature_cols, run.elapsed_seconds, report_cap, run.finished)
     flagged = flagged_rows(sink).select(ARRIVED, ID, *feature_cols, "prediction")

@@ -20,9 +20,7 @@ One Structured Streaming query replaces the hand-made consumer loop:
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -34,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 from raresift.functions.expressions import alert_text
 from raresift.functions.scoring import LinearScorer
 from raresift.operators.events import ID, decode_messages
+from raresift.streaming.lifecycle import StreamRun, follow
 
 ARRIVED = "arrived_at"
 SOURCE_FILE = "source_file"
@@ -165,119 +164,22 @@ def start_sink(
     return writer.start()
 
 
-KIND_METRICS = "raresift_kinds"
-
-
-def with_kind_metrics(scored: DataFrame) -> DataFrame:
-    """Attach per-batch counts of sentinels and rows to the query's progress.
-
-    The counts travel with each micro-batch's progress report
-    (``observedMetrics``), so the driver can follow the stream without
-    scanning the sink.
-    """
-    return scored.observe(
-        KIND_METRICS,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("kind") == "sentinel").alias("sentinels"),
-    )
-
-
-def _batch_sentinels(progress) -> int:
-    metrics = (progress.get("observedMetrics") or {}).get(KIND_METRICS)
-    if not metrics:
-        return 0
-    try:
-        return int(metrics["sentinels"])
-    except (KeyError, TypeError, ValueError):
-        return 0
-
-
-@dataclass
-class StreamRun:
-    """Outcome of one run.
-
-    ``finished`` is False if the run-time cap cut it: then the sink holds
-    part of the source only.
-    """
-
-    sink_path: str
-    elapsed_seconds: float
-    finished: bool
-    batches: int
-    input_rows: int
-    batch_ms: list[int]  # read-score-commit time of each non-empty micro-batch
-
-
-class _Progress:
-    """Figures of the batches that brought rows, gathered while the query runs.
-
-    Spark keeps only the last progress reports, so they are read often.  A
-    report of no rows carries the id of the batch to come, and doesn't count.
-    """
-
-    def __init__(self):
-        self.rows: dict[int, int] = {}
-        self.ms: dict[int, int] = {}
-        self.sentinels: dict[int, int] = {}
-
-    def read(self, query: StreamingQuery) -> None:
-        for p in query.recentProgress:
-            rows = int(p.get("numInputRows", 0))
-            if rows > 0:
-                batch = int(p["batchId"])
-                self.rows[batch] = rows
-                self.ms[batch] = int(p.get("durationMs", {}).get("triggerExecution", 0))
-                self.sentinels[batch] = _batch_sentinels(p)
-
-
-def _follow(
-    query: StreamingQuery, sink_path: str, max_runtime_seconds: float | None, until_drained: bool, poll_seconds: float
-) -> StreamRun:
-    started, finished, seen = time.time(), False, _Progress()
-    try:
-        while max_runtime_seconds is None or time.time() - started < max_runtime_seconds:
-            rest = poll_seconds if max_runtime_seconds is None else max(0.01, started + max_runtime_seconds - time.time())
-            if query.awaitTermination(min(poll_seconds, rest)):
-                finished = True
-                break
-            seen.read(query)
-            last = query.lastProgress
-            if until_drained and any(seen.sentinels.values()) and last and int(last.get("numInputRows", 0)) == 0:
-                finished = True
-                break
-    finally:
-        if query.isActive:
-            query.stop()
-        seen.read(query)
-    elapsed = time.time() - started
-    return StreamRun(
-        sink_path, elapsed, finished, len(seen.rows), sum(seen.rows.values()), [seen.ms[b] for b in sorted(seen.ms)]
-    )
-
-
 def run_bounded(
-    query: StreamingQuery, sink_path: str, max_runtime_seconds: float | None = None, poll_seconds: float = 1.0
+    query: StreamingQuery, sink_path: str, max_runtime_seconds: float | None = None, max_batches: int | None = None, spark: SparkSession | None = None
 ) -> StreamRun:
-    """Wait for a bounded query to read all there is (STR5, STR7).
-
-    ``elapsed_seconds`` is the driver clock from start to stop (AGG13).  With
-    a run-time cap the query is stopped there: rows still unread stay in the
-    source for the next run, and ``finished`` is False.
-    """
-    return _follow(query, sink_path, max_runtime_seconds, until_drained=False, poll_seconds=poll_seconds)
+    """Wait for a bounded query to read all there is (STR5, STR7), see :func:`follow`."""
+    return follow(query, sink_path, max_runtime_seconds, max_batches=max_batches, spark=spark)
 
 
 def run_until_drained(
-    query: StreamingQuery, sink_path: str, max_runtime_seconds: float | None = None, poll_seconds: float = 1.0
+    query: StreamingQuery, sink_path: str, max_runtime_seconds: float | None = None, max_batches: int | None = None, spark: SparkSession | None = None
 ) -> StreamRun:
     """Run a live query until the sentinel has been seen and the source is drained.
 
     The end condition of the original consumer ("sentinel arrived and the
     buffer is empty"): once a batch has held the sentinel, the query stops at
     the first later report that brings no new rows.  Messages that arrive
-    after the sentinel but before the drain are still scored.  The sentinel is
-    seen through the observed metrics of each batch's progress
-    (:func:`with_kind_metrics`), never by scanning the sink.  The run-time
-    cap applies as in :func:`run_bounded` (STR4, STR5, STR7).
+    after the sentinel but before the drain are still scored (STR4, STR5, STR7),
+    see :func:`follow`.
     """
-    return _follow(query, sink_path, max_runtime_seconds, until_drained=True, poll_seconds=poll_seconds)
+    return follow(query, sink_path, max_runtime_seconds, until_drained=True, max_batches=max_batches, spark=spark)

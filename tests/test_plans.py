@@ -84,3 +84,10 @@ def test_dedup_aggregates_map_side(plans):
     tree = plans["clean_transactions"].split("\n\n")[0]
     # the tree prints root first: final aggregate, exchange, then the map-side partial one
     assert tree.index("HashAggregate") < tree.index("Exchange") < tree.rindex("HashAggregate")
+
+
+def test_a_message_is_parsed_once(spark):
+    """A filter on the decoded kind must not copy the parsing into itself."""
+    text = QUERIES["card_messages_scored"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json(") == 1
+    assert text.count("try_cast(_m") <= 31  # thirty features and the id
