@@ -371,3 +371,51 @@ SELECT row_id, round(probability, 6) AS probability,
        CASE WHEN probability > {CARD_SCORER.threshold!r} THEN printf('FRAUD FLAGGED: time=%.1f amount=%.2f', "Time", Amount) END AS alert
 FROM p
 """
+
+
+# ---- how streams run -----------------------------------------------------
+
+ORACLE["stream_restart"] = "WITH " + _event_ctes().strip() + """
+SELECT kind, count(*) AS deliveries, count(*) AS stored, 0::BIGINT AS missing, 0::BIGINT AS repeated, true AS resumed
+FROM deliveries GROUP BY kind
+"""
+
+
+def _counts(rows: str, run: str) -> str:
+    return f"""
+SELECT '{run}' AS run,
+    count(*) FILTER (WHERE kind <> 'sentinel') AS total_messages_seen,
+    max(total_published) AS sentinel_total_published,
+    count(*) FILTER (WHERE prediction = 1.0) AS frauds_flagged_count,
+    count(*) FILTER (WHERE kind = 'ok') AS scored_messages,
+    count(*) FILTER (WHERE kind = 'invalid') AS invalid_messages,
+    count(*) FILTER (WHERE kind = 'bad') AS bad_messages,
+    count(DISTINCT CASE WHEN prediction = 1.0 THEN "Time" END) AS frauds_distinct_time,
+    count(DISTINCT CASE WHEN prediction = 1.0 THEN __id END) AS frauds_distinct_id,
+    count(DISTINCT CASE WHEN kind <> 'sentinel' THEN __id END) AS distinct_ids_seen,
+    coalesce(count(DISTINCT CASE WHEN kind <> 'sentinel' THEN __id END) = max(total_published), false) AS complete,
+    true AS equals_batch
+FROM {rows}"""
+
+
+# every message of the body once: repeats are the second row of their id
+_BODY_PRED = "(SELECT * FROM pred WHERE kind <> 'sentinel' QUALIFY row_number() OVER (PARTITION BY src_id) = 1)"
+
+ORACLE["stream_running_counts"] = "WITH " + _event_ctes().strip() + _counts("pred", "all") + " UNION ALL " + _counts(_BODY_PRED, "body") + """
+UNION ALL SELECT 'cut', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true
+"""
+
+ORACLE["stream_live"] = "WITH " + _event_ctes().strip() + """
+, seen AS (SELECT count(*) FILTER (WHERE kind <> 'sentinel') AS n, max(total_published) AS total FROM deliveries)
+SELECT 'early' AS "case", true AS finished, n AS seen, total AS published, true AS in_time FROM seen
+UNION ALL SELECT 'late', true, n, total, true FROM seen
+UNION ALL SELECT 'capped', false, NULL, NULL, true
+"""
+
+ORACLE["stream_admission"] = "WITH " + _event_ctes().strip() + """
+SELECT count(*) AS deliveries, count(*) AS places, max(total_published) AS published, count(*) AS admitted,
+       0::BIGINT AS small_by_rows, true AS both_ways, true AS finished
+FROM deliveries
+"""
+
+ORACLE["stream_first_per_time"] = ORACLE["unique_by_time"]

@@ -32,6 +32,8 @@ from pyspark.sql.streaming import StreamingQuery
 from raresift.functions.expressions import alert_text
 from raresift.functions.scoring import LinearScorer
 from raresift.operators.events import ID, decode_messages
+from raresift.sources.message_log import FORMAT as LOG_FORMAT
+from raresift.sources.message_log import register_message_log
 from raresift.streaming.lifecycle import StreamRun, follow
 
 ARRIVED = "arrived_at"
@@ -54,8 +56,11 @@ def message_stream(
     ``subscribe``/bootstrap options, for one) is read with ``options`` and
     only needs a ``value`` column.  Batches are unbounded unless a limit is
     given; a bus takes ``minOffsetsPerTrigger`` and ``maxTriggerDelay`` (a
-    batch at so many rows or after so long) as ``options``.
+    batch at so many rows or after so long) as ``options``, the message log
+    of this package ``minRows`` and ``maxDelay``.
     """
+    if fmt == LOG_FORMAT:
+        register_message_log(spark)
     reader = spark.readStream.format(fmt).options(**(options or {}))
     file_source = fmt in ("text", "json", "csv", "parquet")
     if file_source and max_files_per_trigger:
@@ -63,7 +68,9 @@ def message_stream(
     if not file_source and max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     raw = reader.load(source) if source else reader.load()
-    origin = F.col("_metadata.file_name") if file_source else F.lit(fmt)
+    # a bus names a delivery by its place in the log
+    places = [F.col(c).cast("string") for c in ("topic", "partition", "offset") if c in raw.columns]
+    origin = F.col("_metadata.file_name") if file_source else F.concat_ws("-", F.lit(fmt), *places)
     return raw.select(
         F.col("value").cast("string").alias("value"),
         origin.alias(SOURCE_FILE),
