@@ -56,8 +56,13 @@ def binary_areas(
         F.count_if(F.col("_pos")).cast("double").alias("p"),
         F.count_if(~F.col("_pos")).cast("double").alias("n"),
     )
+    return areas_of_groups(groups, "_s", num_buckets, rows)
+
+
+def areas_of_groups(groups: DataFrame, score: str, num_buckets: int | None = None, quantile_source: DataFrame | None = None) -> DataFrame:
+    """The areas of :func:`binary_areas` from distinct scores with their positives ``p`` and negatives ``n`` (doubles)."""
     cum = running_totals(
-        groups, "_s", ["p", "n"], descending=True, prefix="c_", num_buckets=num_buckets, quantile_source=rows
+        groups, score, ["p", "n"], descending=True, prefix="c_", num_buckets=num_buckets, quantile_source=quantile_source
     )
     tp, fp, p, n = F.col("c_p"), F.col("c_n"), F.col("p"), F.col("n")
     precision = tp / (tp + fp)

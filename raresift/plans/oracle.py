@@ -419,3 +419,93 @@ FROM deliveries
 """
 
 ORACLE["stream_first_per_time"] = ORACLE["unique_by_time"]
+
+
+# ---- fits, areas, malformed input, documents, sink layout ------------------
+
+_NEWTON_STEPS = 8
+
+
+def _newton() -> str:
+    """Newton steps for an intercept and two features, each step's 3 x 3 system by Cramer's rule."""
+    gram = ((0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2))
+    x = ("1.0", "x1", "x2")
+    out = """WITH e AS (
+    SELECT CAST(json_extract_string(props, '$.k') AS DOUBLE) AS v, value AS a, CAST(event_type = 'error' AS DOUBLE) AS y FROM events
+), used AS (
+    SELECT * FROM e WHERE v IS NOT NULL AND a IS NOT NULL AND NOT isnan(v) AND NOT isnan(a)
+), s AS (
+    SELECT stddev_samp(v) AS s1, stddev_samp(a) AS s2, count(*) AS n FROM used
+), r AS (
+    SELECT v / s1 AS x1, a / s2 AS x2, y FROM used, s
+), n0 AS (
+    SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2
+)"""
+    for k in range(_NEWTON_STEPS):
+        sums = [f"sum((p - y) * {x[i]}) AS g{i}" for i in range(3)] + [f"sum(p * (1 - p) * {x[i]} * {x[j]}) AS h{i}{j}" for i, j in gram]
+        out += f""", t{k} AS (
+    SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2, {", ".join(sums)}
+    FROM (SELECT *, 1.0 / (1.0 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM r, n{k})
+), n{k + 1} AS (
+    SELECT b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / d AS b0,
+        b1 - (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / d AS b1,
+        b2 - (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / d AS b2
+    FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS d FROM t{k})
+)"""
+    last = f"n{_NEWTON_STEPS}"
+    return out + f"""
+SELECT 'intercept' AS term, round(b0, 6) AS weight, true AS same FROM {last}
+UNION ALL SELECT 'V2', round(b1 / s1, 6), true FROM {last}, s
+UNION ALL SELECT 'Amount', round(b2 / s2, 6), true FROM {last}, s
+"""
+
+
+ORACLE["newton_weights"] = _newton()
+
+ORACLE["binned_areas"] = "WITH " + _event_ctes().strip() + f""",
+b AS (
+    SELECT floor({EVENT_SCORER.sql_probability()} / 0.001) AS bin, label FROM e
+),
+g AS (
+    SELECT bin, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS p, CAST(count(*) FILTER (WHERE label <> 1) AS DOUBLE) AS n
+    FROM b WHERE bin IS NOT NULL GROUP BY bin
+),
+c AS (
+    SELECT p, n, sum(p) OVER (ORDER BY bin DESC) AS tp, sum(n) OVER (ORDER BY bin DESC) AS fp FROM g
+)
+SELECT round((sum(p) * sum(n) - sum(p * fp) + sum(p * n) / 2) / (sum(p) * sum(n)), 9) AS auc_roc,
+    round(sum(p * (tp / (tp + fp) + CASE WHEN tp - p + fp - n = 0 THEN tp / (tp + fp) ELSE (tp - p) / (tp - p + fp - n) END) / 2) / sum(p), 9) AS auc_pr,
+    round(sum(p * n) / (2 * sum(p) * sum(n)), 9) AS roc_error,
+    CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives, count(*) AS bins, true AS merged_equal
+FROM c
+"""
+
+ORACLE["csv_quarantine"] = _with(T_RAW) + """
+, f AS (
+    SELECT txn_key, CASE WHEN "Class" <> 0 THEN NULL WHEN V1 = 13 THEN 'V2:not_a_double' WHEN V1 = 17 THEN 'too_few_fields'
+        WHEN V1 = 19 THEN 'too_many_fields' WHEN V1 = 23 THEN 'Time:not_a_double,Amount:not_a_double' END AS reason FROM t_raw
+)
+SELECT txn_key, reason, count(*) AS rows FROM f WHERE reason IS NOT NULL GROUP BY txn_key, reason
+UNION ALL SELECT NULL, 'none', count(*) FROM f WHERE reason IS NULL
+"""
+
+ORACLE["sink_compacted"] = "WITH " + _event_ctes().strip() + """
+, k AS (
+    SELECT kind, count(*) AS rows, count(*) FILTER (WHERE prediction = 1.0) AS flagged, CAST(coalesce(sum(__id), 0) AS BIGINT) AS id_sum FROM pred GROUP BY kind
+)
+SELECT kind, rows, flagged, id_sum, rows AS after_rows, flagged AS after_flagged, id_sum AS after_id_sum, true AS pruned FROM k
+"""
+
+ORACLE["training_document"] = ORACLE["class_profile"].replace(_with(T_CLEAN), _with(T_SPLIT) + ", profile AS (") + f"""
+), first50 AS (SELECT label FROM t_split WHERE NOT is_train ORDER BY txn_key LIMIT 50)
+SELECT (SELECT count(*) FROM t_raw) AS rows_before_cleaning, (SELECT count(*) FROM t_clean) AS rows_after_cleaning,
+       (SELECT count(*) FROM t_split WHERE is_train) AS train_rows, {_TEST_ROWS} AS test_rows,
+       1.0::DOUBLE AS sample_fraction, {MAX_ITER}::INTEGER AS max_iter, {DECISION_THRESHOLD}::DOUBLE AS decision_threshold,
+       true AS areas_in_range, {_TEST_ROWS} AS confusion_rows, (SELECT count(*) FROM first50) AS sample_rows,
+       (SELECT CAST(sum(label) AS BIGINT) FROM first50) AS sample_ones, true AS sample_right, profile.*
+FROM profile
+"""
+
+ORACLE["missing_input"] = """
+SELECT reader, 'InputNotFound' AS error, (SELECT count(*) FROM events) AS rows_there FROM (VALUES ('csv'), ('quarantined'), ('report')) t(reader)
+"""

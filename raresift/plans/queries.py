@@ -6,6 +6,7 @@ operators; none collects rows to the driver beyond bounded one-row values.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -20,7 +21,7 @@ from raresift.operators.cumulative import global_position
 from raresift.operators.evaluate import binary_areas, confusion_matrix, evaluator_areas, sample_predictions
 from raresift.operators.events import decode_messages, encode_messages, with_input_position
 from raresift.operators.model import fit_classifier, fit_scaler, load_model, save_model, scaler_deviations, score
-from raresift.operators.persist import materialize
+from raresift.operators.persist import materialize, scratch_scope
 from raresift.operators.profile import class_profile, class_weights, with_class_weight
 from raresift.operators.split import split_counts, train_test_split
 from raresift.plans.streaming_job import ScoringOutput, publish, run_stream_scoring
@@ -64,6 +65,17 @@ def register(name: str) -> Callable[[QueryFn], QueryFn]:
     return deco
 
 
+def scoped(fn: QueryFn) -> QueryFn:
+    """A query whose tables on the way are deleted when its result is written, and after an error."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with scratch_scope(spark) as scope:
+            return scope.result(fn(spark, sf_dir), fn.__name__)
+
+    return run
+
+
 def clean_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_table(transactions(spark, sf_dir))
 
@@ -174,6 +186,7 @@ def q_scaler_std(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("fit_quality")
+@scoped
 def q_fit_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows on either side, whether the exact areas equal the evaluator's, and whether they reach a floor."""
     model, _, train, test = fitted_fixture(spark, sf_dir)
@@ -198,6 +211,7 @@ def compared(scored: DataFrame, model) -> DataFrame:
 
 
 @register("model_roundtrip")
+@scoped
 def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out rows scored by the fitted pipeline and by the same one saved and loaded."""
     model, _, _, test = fitted_fixture(spark, sf_dir)
@@ -206,6 +220,7 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("training_summary")
+@scoped
 def q_training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training job's document, one row per class, with the rows of its CSV sample read back."""
     out = scratch_path(spark, "training")
@@ -359,6 +374,7 @@ def q_published_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("stream_model_scored")
+@scoped
 def q_stream_model_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream scored by a saved MLlib pipeline, against the same model on the event table (ML6, SRC7).
 

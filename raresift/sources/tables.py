@@ -11,7 +11,8 @@ class InputNotFound(FileNotFoundError):
     """The input table does not exist (SRC2)."""
 
 
-def _reraise_missing(path: str, exc: AnalysisException) -> None:
+def reraise_missing(path: str, exc: AnalysisException) -> None:
+    """Raise ``InputNotFound`` for a missing path, and any other error as it is."""
     if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
         raise InputNotFound(f"input table not found at {path}") from exc
     raise exc
@@ -43,7 +44,7 @@ def read_csv_table(
     try:
         return reader.csv(path)
     except AnalysisException as exc:  # raised eagerly for a missing path
-        _reraise_missing(path, exc)
+        reraise_missing(path, exc)
         raise
 
 
@@ -56,7 +57,7 @@ def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
     except AnalysisException as exc:
-        _reraise_missing(path, exc)
+        reraise_missing(path, exc)
         raise
 
 
@@ -68,5 +69,5 @@ def read_report(spark: SparkSession, path: str, schema: StructType | None = None
     try:
         return reader.json(path)
     except AnalysisException as exc:
-        _reraise_missing(path, exc)
+        reraise_missing(path, exc)
         raise
