@@ -15,7 +15,7 @@ costs one key a shard, and no task gets a hot key's rows.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -54,7 +54,7 @@ class ShardRow:
     more: dict[str, pa.Scalar]
 
     def others(self) -> pa.RecordBatch:
-        """The documents' other columns."""
+        """The documents' other columns, and at last whether the text is null."""
         with pa.ipc.open_stream(pa.py_buffer(self.rows)) as reader:
             return reader.read_all().combine_chunks().to_batches()[0]
 
@@ -90,16 +90,17 @@ class ShardStore:
         spark = ship(docs.sparkSession)
         sized = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
         parts = int(min(MOST_PARTS, max(LEAST_PARTS, -(-sized // part_bytes))))
-        dealt = docs.withColumn("__part", F.pmod(F.xxhash64(F.col(order_col)), F.lit(parts)).cast("int"))
-        ordered = dealt.repartition(parts, "__part").sortWithinPartitions("__part", order_col, F.xxhash64(text_col))
+        part_col = unused("__part", docs.columns)
+        dealt = docs.withColumn(part_col, F.pmod(F.xxhash64(F.col(order_col)), F.lit(parts)).cast("int"))
+        ordered = dealt.repartition(parts, part_col).sortWithinPartitions(part_col, order_col, F.xxhash64(text_col))
         names = [c for c in docs.columns if c != text_col]
 
         def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             serial = TaskContext.get().partitionId() << 32
             held: list[pa.RecordBatch] = []
             held_part, held_bytes = -1, 0
-            for batch in _by_part(text_slices(batches, text_col, SHARD_BYTES // 4)):
-                part = batch.column(batch.schema.get_field_index("__part"))[0].as_py()
+            for batch in _by_part(text_slices(batches, text_col, SHARD_BYTES // 4), part_col):
+                part = column(batch, part_col)[0].as_py()
                 size = len(text_bytes(column(batch, text_col))[0])
                 if held and (part != held_part or held_bytes + size > SHARD_BYTES):
                     yield _folded(held, held_part, serial, names, text_col)
@@ -170,10 +171,18 @@ class ShardStore:
         return max(1, int(self.total_bytes * bytes_per_text_byte) // BUCKET_BYTES)
 
 
-def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def unused(name: str, taken: Iterable[str]) -> str:
+    """A column name like ``name`` that is none of ``taken``, whatever their case."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
+def _by_part(batches: Iterator[pa.RecordBatch], part_col: str) -> Iterator[pa.RecordBatch]:
     """Batches cut where the part changes."""
     for batch in batches:
-        parts = column(batch, "__part").to_numpy()
+        parts = column(batch, part_col).to_numpy()
         cuts = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), len(parts)]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
@@ -185,7 +194,7 @@ def _folded(held: list[pa.RecordBatch], part: int, shard: int, names: list[str],
     data, offsets = text_bytes(column(whole, text_col))
     others = whole.select(names)
     nulls = column(whole, text_col).is_null()
-    others = others.append_column("__null", nulls)
+    others = others.append_column(unused("__null", names), nulls)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, others.schema) as writer:
         writer.write_table(others)

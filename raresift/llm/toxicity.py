@@ -32,7 +32,6 @@ PREFIXES = (4, 5, 6)
 PRIOR_SHARE = 0.05
 #: Tokens of the lexicon are this many standard deviations, and this odds ratio, on the toxic side.
 MIN_Z, MIN_RATIO = 4.0, 8.0
-MAX_TERMS = 20_000
 #: A token's weight is its log-odds less so many standard deviations.
 HELD_BACK = 2.0
 LOSS = 0.5
@@ -78,24 +77,33 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
-    """All maximal segments [start, end) with positive sum, in linear time."""
+    """All maximal segments [start, end) with positive sum, in linear time.
+
+    Each open segment knows the nearest one before it that begins at a lower
+    sum, so a search never steps through what lies between; once none does,
+    all open segments are final.
+    """
     total = 0.0
-    found: list[tuple[int, int, float, float]] = []  # start, end, sum before start, sum at end
+    done: list[tuple[int, int, float]] = []
+    open_: list[tuple[int, int, float, float, int]] = []  # start, end, sum before start, sum at end, nearest lower
     for i, score in enumerate(scores):
         before, total = total, total + score
         if score <= 0:
             continue
-        start, left = i, before
+        start, left, j = i, before, len(open_) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= left:
-                j -= 1
-            if j < 0 or found[j][3] >= total:
-                found.append((start, i + 1, left, total))
+            while j >= 0 and open_[j][2] >= left:
+                j = open_[j][4]
+            if j < 0:
+                done += [(a, b, right - low) for a, b, low, right, _ in open_]
+                open_.clear()
+            if j < 0 or open_[j][3] >= total:
+                open_.append((start, i + 1, left, total, j))
                 break
-            start, left = found[j][0], found[j][2]
-            del found[j:]
-    return [(a, b, right - left) for a, b, left, right in found]
+            start, _, left, _, lower = open_[j]
+            del open_[j:]
+            j = lower
+    return done + [(a, b, right - low) for a, b, low, right, _ in open_]
 
 
 def passages(model: ToxicityModel, texts: pa.Array) -> list[list[tuple[int, int, float, float]]]:
@@ -169,13 +177,12 @@ def _curve(points: list[tuple[float, int, int]]) -> tuple[float, float]:
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = MAX_TRAINING, max_terms: int = MAX_TERMS
+    docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = MAX_TRAINING
 ) -> ToxicityModel:
     """Fit on the labelled rows outside the held-out fold.
 
-    At most ``max_rows`` rows, and at most ``max_terms`` tokens (the size of
-    the model, which every task gets): those furthest from zero.  Without
-    rows of both kinds the lexicon is empty and every score is the share of
+    At most ``max_rows`` rows, so the model, which every task gets, is bounded
+    by the distinct tokens of that many rows.  Without rows of both kinds the lexicon is empty and every score is the share of
     toxic rows.
     """
     ship(docs.sparkSession)
@@ -220,8 +227,6 @@ def fit_toxicity(
         .withColumn("z", F.col("odds") / spread)
         .withColumn("weight", F.col("odds") - HELD_BACK * spread)
         .filter((F.col("z") >= MIN_Z) & (F.col("odds") >= math.log(MIN_RATIO)))
-        .orderBy(F.desc("z"), "token")
-        .limit(max_terms)
         .collect()
     )
     tokens = np.array([t.token for t in terms], np.int64).view(np.uint64)
