@@ -145,15 +145,20 @@ def _send_pieces(length: int, buckets: int):
             known = within(mixed[new], answered_keys(row.answers))
             kept = known[np.cumsum(new) - 1] if len(mixed) else np.zeros(0, bool)
             open_, mixed = open_[kept], mixed[kept]
-            yield from _pieces(row, hashes, length, _marked(len(row.data), at, shared), open_, mixed, None, buckets)
+            yield from _pieces(row, hashes, length, _marked(len(row.data), at, shared), open_, open_, mixed, None, buckets)
 
     return send
 
 
 def _pieces(
-    row: ShardRow, hashes: Windows, length: int, gone: np.ndarray, open_: np.ndarray, mixed: np.ndarray, keys: np.ndarray | None, buckets: int
-) -> Iterator[pa.RecordBatch]:
-    """Messages about the pieces of the open windows; ``keys`` (of all windows) stand for the texts of single windows."""
+    row: ShardRow, hashes: Windows, length: int, gone: np.ndarray, open_: np.ndarray, place: np.ndarray, mixed: np.ndarray,
+    keys: np.ndarray | None, buckets: int,
+) -> Iterator[pa.RecordBatch]:
+    """Messages about the pieces of the open windows.
+
+    ``place`` says where ``hashes`` hold each open window; ``keys``, one for
+    each, stand for the texts of single windows.
+    """
     doc = np.searchsorted(row.offsets, open_, side="right") - 1
     begins = np.ones(len(open_), bool)
     begins[1:] = (open_[1:] != open_[:-1] + 1) | (mixed[1:] != mixed[:-1]) | (doc[1:] != doc[:-1])
@@ -161,7 +166,7 @@ def _pieces(
     start = open_[begins]
     count = np.diff(np.append(begins, len(open_)))
     key, ids = mixed[begins], _order_ids(row)[doc[begins]]
-    text = hashes.spans(start, start + count + length - 1) if keys is None else keys[start]
+    text = hashes.spans(place[begins], place[begins] + count + length - 1) if keys is None else keys[begins]
     by = np.argsort(key, kind="stable")
     # pieces of one shard with one key differ
     lead, many = _key_runs(key[by])
@@ -210,15 +215,32 @@ def _open(row: ShardRow, length: int) -> tuple[np.ndarray, np.ndarray]:
     return gone, np.sort(np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count))
 
 
+def _open_bytes(row: ShardRow, open_: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of the open windows end to end, where each window lies in them)."""
+    if not len(open_):
+        return row.data[:0], open_
+    begins = np.flatnonzero(np.concatenate([[True], open_[1:] > open_[:-1] + length]))
+    start, last = open_[begins], open_[np.append(begins[1:], len(open_)) - 1]
+    size = last + length - start
+    base = np.cumsum(size) - size
+    data = row.data[np.arange(int(size.sum())) + np.repeat(start - base, size)]
+    return data, open_ - np.repeat(start - base, np.diff(np.append(begins, len(open_))))
+
+
 def _send_longer(length: int, sample: int, buckets: int):
-    """Level 3: the pieces of the windows that aren't settled, by keys of ``sample`` bytes."""
+    """Level 3: the pieces of the windows that aren't settled, by keys of ``sample`` bytes; only their bytes are hashed."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in shard_rows(batches):
             gone, open_ = _open(row, length)
-            hashes, keys, _ = _windows(row, length)
-            longer = slide(hashes.of(sample), length - sample + 1, np.minimum) if len(keys) else keys
-            yield from _pieces(row, hashes, length, gone, open_, mix(longer[open_]), keys if sample == length else None, buckets)
+            data, place = _open_bytes(row, open_, length)
+            hashes = Windows(_BYTE_IDS[data])
+            none = np.zeros(0, np.uint64)
+
+            def keys(width: int) -> np.ndarray:
+                return slide(hashes.of(width), length - width + 1, np.minimum)[place] if len(place) else none
+
+            yield from _pieces(row, hashes, length, gone, open_, place, mix(keys(sample)), keys(SAMPLE) if sample == length else None, buckets)
 
     return send
 
@@ -307,7 +329,7 @@ def rewrite_without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             whole = np.concatenate([[0], np.cumsum(~gone)])[row.offsets]
             raw = row.data[~gone].tobytes()
             others = row.others()
-            nulls = others.column(others.schema.get_field_index("__null")).to_pylist()
+            nulls = others.column(others.num_columns - 1).to_pylist()
             texts = [None if null else raw[a:b].decode() for null, a, b in zip(nulls, whole.tolist(), whole[1:].tolist())]
             arrays = []
             for field in schema:
