@@ -2,14 +2,23 @@
 
 import random
 import time
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
+from llm_fixtures import tokenizer  # noqa: F401  (fixture)
 from raresift.llm._shards import unused
+from raresift.llm._text import hash_words
+from raresift.llm.decontaminate import find_contamination
 from raresift.llm.near_duplicates import remove_near_duplicates
+from raresift.llm.packing import pack
 from raresift.llm.repeats import remove_repeated
 from raresift.llm.suffix_dedup import remove_repeated_strings, rewrite_without_repeats
-from raresift.llm.toxicity import maximal_segments
+from raresift.llm.token_files import token_files_round_trip
+from raresift.llm.toxicity import ToxicityModel, _words, maximal_segments, score_toxicity
 
 
 def segments_by_definition(scores):
@@ -95,3 +104,48 @@ def test_texts_of_several_megabytes(spark):
     windows = {r.doc_id: (r.n_words, r.n_removed) for r in remove_repeated(docs).collect()}
     assert windows == {1: (82, 80), 2: (300_141, 80 + 120), 3: (1, 0)}
     assert remove_near_duplicates(docs, 5, 80).count() == 3
+
+
+def long_words():
+    rng = random.Random(9)
+    return [f"w{rng.randrange(10**9)}" for _ in range(290_000)]
+
+
+def test_long_texts_are_searched_whole(spark):
+    """A benchmark item near the end of a text of over 3 MB."""
+    words = long_words()
+    item = " ".join(f"Item{k}" for k in range(14))
+    text = " ".join(words[:-20]) + f" {item} " + " ".join(words[-20:])
+    docs = spark.createDataFrame([(1, text), (2, " ".join(words)), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("a", item), ("b", "short item")], "item_id string, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.contaminated) for r in find_contamination(docs, items).collect()}
+    assert got == {1: (290_014, 14, 1, True), 2: (290_000, 0, 0, False), 3: (0, 0, 0, False)}
+
+
+def test_long_texts_become_ids_whole(spark, tokenizer):  # noqa: F811
+    words = long_words()
+    rows = [(1, " ".join(words)), (2, "between"), (3, "x" * 3_100_000), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    encoder = Tokenizer.from_file(tokenizer)
+    want, at = {}, 0
+    for i, text in rows:
+        ids = np.array([*encoder.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        want[i] = (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files_round_trip(docs, tokenizer).collect()}
+    assert got == want
+    pieces = pack(docs, tokenizer).collect()
+    assert all(p.offset + p.length <= 1024 for p in pieces)
+    for i in want:
+        own = sorted((p.start, p.length) for p in pieces if p.doc_id == i)
+        assert [s for s, _ in own] == np.cumsum([0, *(n for _, n in own)])[:-1].tolist() and sum(n for _, n in own) == want[i][1]
+
+
+def test_a_passage_at_the_end_of_a_long_text_counts(spark):
+    bad = [f"bad{i}" for i in range(8)]
+    data, starts, ends, _ = _words(pa.array([" ".join(bad)]))
+    model = ToxicityModel(np.sort(hash_words(data, starts, ends)), np.full(8, 2.0), 1.0, -3.0, 2.0)
+    plain = " ".join(long_words())
+    docs = spark.createDataFrame([(1, plain), (2, plain + " " + " ".join(bad * 2)), (3, "bad0 " * 600_000)], "doc_id long, text string")
+    got = {r.doc_id: r.n_passages for r in score_toxicity(docs, model).collect()}
+    assert got == {1: 0, 2: 1, 3: 1}
