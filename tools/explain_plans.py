@@ -95,6 +95,17 @@ NOTES = {
     "published_positions": "per-split counts; offsets joined on a compact key (AQE broadcast or balanced shuffle)",
     "stream_model_scored": "fit on the event table, the stream as stream_scored, one join by id with the batch scores",
     "card_messages_scored": "narrow: to_json / from_json of 30 features, one codegen score expression",
+    "stream_restart": "stream as stream_scored; source and sink counted by delivery (partial agg), counts joined",
+    "stream_running_counts": "state per kind and distinct value, partial agg before the state shuffle; one-row report a batch",
+    "stream_live": "stream as stream_scored; the driver waits for events",
+    "stream_admission": "log segments read by offset ranges; batches admitted by rows or time",
+    "stream_first_per_time": "rows cut to one per key in each Arrow batch, then keyed state",
+    "newton_weights": "narrow rows written once, one aggregate of decimal sums an iteration",
+    "binned_areas": "counts per bin (partial agg), then as auc_roc over the bins",
+    "csv_quarantine": "one CSV scan; only malformed rows are parsed again",
+    "sink_compacted": "rebalance by kind and day, split by AQE; readers prune folders",
+    "training_document": "as training_summary; two small files read back",
+    "missing_input": "one count",
 }
 
 
@@ -103,6 +114,8 @@ def main() -> None:
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     out = args[1] if len(args) > 1 else os.path.join(os.path.dirname(os.path.dirname(__file__)), "PLANS.md")
 
+    import raresift.plans.checks  # noqa: F401  (registers its queries)
+    import raresift.plans.live  # noqa: F401
     from raresift.plans.queries import QUERIES
     from raresift.session import build_session
 
