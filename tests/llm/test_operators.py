@@ -360,6 +360,37 @@ def test_near_duplicates_in_long_lists(spark, monkeypatch):
     assert got == brute_near(rows, 3, 85)
 
 
+def test_members_of_a_long_list_meet_those_of_other_components(spark, monkeypatch):
+    """One component sends nothing; few members outside send few copies; every open pair shares a task once."""
+    import raresift.llm.near_duplicates as module
+
+    monkeypatch.setattr(module, "BLOCK", 10)
+    schema = "list long, block int, blocks int, doc_id long, n int, sketch binary, component long"
+
+    def rows(name, many, component):
+        return [(name, i % 4, 4, 1000 * name + i, 9, b"", 1000 * name + component(i)) for i in range(many)]
+
+    one = rows(1, 40, lambda i: 0)
+    few = rows(2, 40, lambda i: i if i in (3, 7, 8) else 0)
+    all_open = rows(3, 30, lambda i: i // 2)
+    met = module._meetings(spark.createDataFrame(one + few + all_open, schema)).collect()
+    by_task = {}
+    for r in met:
+        by_task.setdefault(r.task, []).append(r)
+    found = Counter()
+    for task in by_task.values():
+        for a in (r for r in task if r.asks):
+            for b in (r for r in task if not r.asks):
+                if a.component != b.component and (not b.minor or a.doc_id < b.doc_id):
+                    found[frozenset((a.doc_id, b.doc_id))] += 1
+    want = {
+        frozenset((a[3], b[3])) for part in (few, all_open) for a in part for b in part if a[6] != b[6]
+    }
+    assert set(found) == want and set(found.values()) == {1}
+    # 40 members in one slice, and three that ask four blocks
+    assert sum(r.doc_id // 1000 == 2 for r in met) == 40 + 3 * 4
+
+
 def test_one_document_of_a_group_stays(spark, documents):
     doubled = documents.union(documents.filter("doc_id = 1"))
     out = remove_near_duplicates(doubled, 3, 85)
