@@ -2,6 +2,7 @@
 
 import math
 import os
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from conftest import SF_SMALL
 from raresift.operators.evaluate import binary_areas
 from raresift.operators.histogram import histogram_areas, merge_histograms, score_histogram
 from raresift.operators.model import fit_classifier
-from raresift.operators.newton import newton_fit
+from raresift.operators.newton import _sums, newton_fit
 from raresift.operators.persist import discard, materialize, scratch_scope
 from raresift.session import ensure_checkpoint_dir, scratch_path
 from raresift.sinks.compaction import compact_sink
@@ -67,6 +68,30 @@ def test_newton_is_the_same_on_any_layout(spark):
     assert fits[0] == fits[1] == fits[2]
 
 
+def test_newton_sums_in_longs_only(spark, monkeypatch):
+    df, *_ = sample(spark, n=80)
+    found, agg = [], type(df).agg
+
+    def seen(self, *columns):
+        out = agg(self, *columns)
+        found.extend(out.dtypes)
+        return out
+
+    monkeypatch.setattr(type(df), "agg", seen)
+    newton_fit(df, ["a", "b"])
+    assert found and {kind for _, kind in found} == {"bigint"}
+
+
+def test_fixed_point_sums_are_exact_in_any_order(spark):
+    values = [2.0**70, 0.1, -3.7e12, 5e-324, 2.0**-50, -(2.0**70), 123456.789, -0.1, 1e5 / 3, float("inf"), None, float("nan")]
+    kept = [v for v in values if v is not None and math.isfinite(v)]
+    exact = float(sum(Fraction(round(Fraction(v) * 2**50), 2**50) for v in kept))
+    for order in (values, values[::-1]):
+        rows = spark.createDataFrame([(v,) for v in order], "v double").repartition(3)
+        assert _sums(rows, lambda at: [at["v"], np.ones(len(at["v"]))], 2) == [exact, float(len(values))]
+    assert _sums(rows.limit(0), lambda at: [at["v"]], 1) == [0.0]
+
+
 def test_newton_leaves_out_incomplete_rows_and_names_its_errors(spark):
     df, *_ = sample(spark)
     dirty = df.unionByName(spark.createDataFrame([(None, 1.0, 1.0, 1.0, 1.0), (1.0, float("nan"), 1.0, 0.0, 1.0), (1.0, 1.0, 1.0, None, 1.0)], df.schema))
