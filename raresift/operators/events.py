@@ -19,6 +19,8 @@ instead of being dropped or retried forever.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,7 +119,7 @@ def _problems(feature_cols: Sequence[str]) -> Column:
     return F.concat_ws(",", *checks)
 
 
-def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that is evaluated once per row, however often later columns and filters use it.
 
     A column of a projection is copied into whatever reads it, a pushed
@@ -144,21 +146,24 @@ def decode_messages(
     typed = feature_schema(feature_cols)
     schema = message_schema(feature_cols, passthrough)
     texts = messages.select(*keep, F.col(value_col).cast("string").alias("value"))
-    parsed = _once(texts, "_m", F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}))
+    parsed = once(texts, "_m", F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}))
     numbers = [parse_double(F.col(f"_m.{f.name}")).cast(f.dataType).alias(f.name) for f in typed.fields]
-    parsed = _once(_once(parsed, "_f", F.struct(*numbers)), "_p", _problems(feature_cols))
+    # The test that every row needs is short; the names of the problems are put together for the rows that have some.
+    # With them in the kind, the generated code of many features outgrows what the JVM compiles.
+    complete = reduce(and_, [F.col(f"_f.{c}").isNotNull() & ~F.isnan(F.col(f"_f.{c}")) for c in feature_cols], F.lit(True))
+    parsed = once(once(parsed, "_f", F.struct(*numbers)), "_ok", complete)
     is_object = F.col("_m").isNotNull() & F.col(f"_m.{CORRUPT}").isNull()
     is_sentinel = is_object & (F.col(f"_m.{SENTINEL_FIELD}") == F.lit(SENTINEL_VALUE))
     kind = (
         F.when(~is_object | F.col("_m").isNull(), F.lit("bad"))
         .when(is_sentinel, F.lit("sentinel"))
-        .when(F.col("_p") != F.lit(""), F.lit("invalid"))
+        .when(~F.col("_ok"), F.lit("invalid"))
         .otherwise(F.lit("ok"))
     )
     reason = (
         F.when(~is_object | F.col("_m").isNull(), F.lit("not_a_json_object"))
         .when(is_sentinel, F.lit(None).cast("string"))
-        .when(F.col("_p") != F.lit(""), F.col("_p"))
+        .when(~F.col("_ok"), _problems(feature_cols))
     )
     return parsed.select(
         *keep,

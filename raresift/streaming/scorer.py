@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from raresift.functions.expressions import alert_text
 from raresift.functions.scoring import LinearScorer
-from raresift.operators.events import ID, decode_messages
+from raresift.operators.events import ID, decode_messages, once
 from raresift.sources.message_log import FORMAT as LOG_FORMAT
 from raresift.sources.message_log import register_message_log
 from raresift.streaming.lifecycle import StreamRun, follow
@@ -81,12 +81,8 @@ def message_stream(
 def _score_columns(decoded: DataFrame, scorer, feature_cols: Sequence[str]) -> DataFrame:
     ok = F.col("kind") == F.lit("ok")
     if isinstance(scorer, LinearScorer):
-        prob = scorer.probability()
-        return decoded.select(
-            "*",
-            F.when(ok, prob).alias("probability"),
-            F.when(ok, scorer.prediction(prob)).alias("prediction"),
-        )
+        scored = once(decoded, "probability", F.when(ok, scorer.probability()))
+        return scored.select("*", F.when(ok, scorer.prediction(F.col("probability"))).alias("prediction"))
     if isinstance(scorer, PipelineModel):
         # Rejected rows still flow through the model (their vectors get
         # NaN instead of raising); their outputs are masked below.  The

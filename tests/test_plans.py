@@ -91,3 +91,14 @@ def test_a_message_is_parsed_once(spark):
     text = QUERIES["card_messages_scored"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert text.count("from_json(") == 1
     assert text.count("try_cast(_m") <= 31  # thirty features and the id
+
+
+def test_the_code_of_thirty_features_is_small_enough_to_be_compiled(spark):
+    """The JVM runs methods of over 8000 bytes of bytecode in its interpreter only."""
+    QUERIES["card_messages_scored"](spark, SF_SMALL).createOrReplaceTempView("card_scored_plan")
+    try:
+        text = spark.sql("EXPLAIN CODEGEN SELECT * FROM card_scored_plan").first()[0]
+    finally:
+        spark.catalog.dropTempView("card_scored_plan")
+    found = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert found and max(found) < 8000
