@@ -16,6 +16,8 @@ from raresift.sources import fixtures as fx
 from raresift.sources.message_log import FORMAT, MessageLogReader, append_messages, log_end, log_segments
 from raresift.streaming.first_flagged import first_per_key
 from raresift.streaming.lifecycle import follow
+from raresift.operators.events import decode_messages
+from raresift.streaming import recovery
 from raresift.streaming.recovery import audit_deliveries
 from raresift.streaming.report import report_counts
 from raresift.streaming.running import KEPT_REPORTS, running_report, start_running_report
@@ -121,6 +123,19 @@ def test_audit_finds_losses_and_repeats(spark):
     assert audit == {"ok": (1, 2), "invalid": (0, 0), "bad": (0, 0)}
 
 
+def test_audit_deals_all_rows_before_it_groups_them(spark, monkeypatch):
+    """A task that groups its part of the source first holds a row for nearly each message."""
+    monkeypatch.setattr(recovery, "TASK_ROWS", 50)
+    lines = ['{"V1": "1", "__id": 4}'] * 400 + [f'{{"V1": "{i}", "__id": {i}}}' for i in range(300)] + ["junk"] * 50
+    messages = spark.createDataFrame([(v, "f") for v in lines], "value string, source_file string").repartition(3)
+    sink = decode_messages(messages, ["V1"], keep=["source_file"]).filter("__id IS NULL OR __id <> 7")
+    audit = audit_deliveries(messages, sink, ["V1"])
+    text = audit._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in text and "HashAggregate" not in text[text.index("REPARTITION_BY_NUM") :]
+    assert f", {-(-1499 // 50)}), REPARTITION_BY_NUM" in text
+    assert {r.kind: r[1:] for r in audit.collect()} == {"ok": (700, 699, 1, 0), "bad": (50, 50, 0, 0)}
+
+
 def test_running_report_equals_the_batch_report_after_each_batch(spark):
     m, source, work = fx.event_messages(spark, SF_SMALL), scratch_path(spark, "messages"), scratch_path(spark, "stream")
     publish([m["body"].repartition(14)], source)
