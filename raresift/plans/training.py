@@ -16,15 +16,19 @@ from pyspark.sql import functions as F
 
 from raresift.functions.expressions import DECISION_THRESHOLD, MAX_ITER, SEED, TRAIN_FRACTION, hash_key
 from raresift.functions.schema import LABEL, TARGET, WEIGHT, feature_columns
-from raresift.operators.clean import clean_tally, sample_rows, tally_counts, tally_rows
+from raresift.operators.clean import COPIES, clean_tally, sample_rows, tally_counts, tally_rows
 from raresift.operators.evaluate import binary_areas, confusion_matrix, evaluator_areas, sample_predictions
 from raresift.operators.model import fit_classifier, save_model, score
 from raresift.operators.persist import discard, materialize
 from raresift.operators.profile import class_profile, with_class_weight
-from raresift.operators.split import SPLIT, with_split
+from raresift.operators.split import split_flag
 from raresift.sinks.writers import write_document, write_sample_csv
 
 
+#: Column of the written rows: 'train' or 'test'.
+SIDE = "_side"
+
+
 def _round4(x: float | None) -> float | None:
     return None if x is None else round(float(x), 4)
 
@@ -67,26 +71,31 @@ def run_training(
     # layout, and copies of a row are kept or dropped together.
     working = sample_rows(raw, sample_fraction, seed, key=key or list(raw.columns))
     # One pass over the input: the distinct complete rows with their copy
-    # counts are written once to the shared checkpoint folder, and every later
-    # step (weights, profile, split, fit, metrics) reads that table.
-    tally = materialize(tally_rows(working), "tally")
+    # counts and their side of the split are written once to the shared
+    # checkpoint folder, and every later step (weights, profile, fit, metrics)
+    # reads that table; the fit reads the features and the side only.
+    counted = tally_rows(working)
+    side = split_flag(hash_key(key if key else [c for c in counted.columns if c != COPIES]), train_fraction, seed)
+    tally = materialize(counted.withColumn(SIDE, side), "tally")
     totals = tally_counts(tally, target).first()
-    clean = clean_tally(tally, target, LABEL)
-    weighted = with_class_weight(clean, LABEL, WEIGHT, (totals["rows_after_cleaning"], totals["positives"]))
+    flagged = clean_tally(tally, target, LABEL)
+    clean = flagged.drop(SIDE)
+    counts = (totals["rows_after_cleaning"], totals["positives"])
+    weighted = with_class_weight(clean, LABEL, WEIGHT, counts)
     profile = class_profile(spark, clean, view)
 
     features = feature_columns(weighted, exclude=(LABEL, WEIGHT), extra_exclude=key)
     split_key = hash_key(key if key else [c for c in clean.columns])
     order_key = "_sample_key"
-    flagged = with_split(weighted, split_key, train_fraction, seed)
+    flagged = with_class_weight(flagged, LABEL, WEIGHT, counts)
     # The optimiser caches its own blocks of the training rows.
-    train = flagged.filter(F.col(SPLIT) == "train").select(*features, LABEL, WEIGHT)
+    train = flagged.filter(F.col(SIDE) == "train").select(*features, LABEL, WEIGHT)
     model = fit_classifier(train, features, max_iter=max_iter, threshold=decision_threshold)
     if model_output_dir:
         save_model(model, model_output_dir)
 
     # Only what the metrics and the sample read is written, once.
-    test = flagged.filter(F.col(SPLIT) == "test").withColumn(order_key, split_key)
+    test = flagged.filter(F.col(SIDE) == "test").drop(SIDE).withColumn(order_key, split_key)
     scored = score(model, test).select(order_key, *key, LABEL, "prediction", "rawPrediction", "p_positive")
     predictions = materialize(scored, "predictions")
     # MLlib's binned areas group the sorted scores per partition, so they can

@@ -119,3 +119,16 @@ def test_fit_on_natural_labels(spark):
     model = fit_classifier(weighted, ["n_chars", "words"])
     row = binary_areas(score(model, weighted), "p_positive", LABEL).first()
     assert 0.0 <= row["auc_roc"] <= 1.0 and row["positives"] == 51
+
+
+def test_the_fit_reads_features_and_the_written_side_of_the_split(spark, monkeypatch):
+    from raresift.plans import training
+
+    seen, fit = [], training.fit_classifier
+    monkeypatch.setattr(training, "fit_classifier", lambda train, *a, **k: (seen.append(train), fit(train, *a, **k))[1])
+    raw = spark.createDataFrame([(f"k{i}", float(i % 9), float(i % 4), int(i % 5 == 0)) for i in range(200)], "k string, a double, Amount double, Class int")
+    run_training(spark, raw, key=["k"], max_iter=2)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan
+    physical = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<a:double,Amount:double,Class:int," in physical
