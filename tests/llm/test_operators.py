@@ -391,6 +391,37 @@ def test_members_of_a_long_list_meet_those_of_other_components(spark, monkeypatc
     assert sum(r.doc_id // 1000 == 2 for r in met) == 40 + 3 * 4
 
 
+def test_members_of_long_lists_are_joined_with_their_components_once(spark, monkeypatch):
+    """The steps on long lists read a written table, whose rows grow in proportion to a group of near copies."""
+    import random
+
+    import raresift.llm.near_duplicates as module
+
+    monkeypatch.setattr(module, "COMMON", 6)
+    monkeypatch.setattr(module, "BLOCK", 16)
+    random_ = random.Random(4)
+    seen = []
+    for name in ("open_documents", "open_links"):
+
+        def step(self, members, *more, own=getattr(module._Job, name)):
+            seen.append((members._jdf.queryExecution().optimizedPlan().toString(), members.count()))
+            return own(self, members, *more)
+
+        monkeypatch.setattr(module._Job, name, step)
+    made = []
+    for many in (30, 120):
+        seen.clear()
+        rows = [(i, " ".join(f"e{i}-{k}" if random_.random() < 0.02 else f"b{k}" for k in range(120))) for i in range(many)]
+        passage = " ".join(f"p{k}" for k in range(50))
+        rows += [(many + i, " ".join([passage, *(f"o{i}-{k}" for k in range(10))])) for i in range(20)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df, 3, 85).collect()}
+        assert got == brute_near(rows, 3, 85)
+        assert seen and not any("Join" in plan for plan, _ in seen)
+        made.append(seen[0][1])
+    assert made[0] > 0 and made[1] < 8 * made[0]
+
+
 def test_one_document_of_a_group_stays(spark, documents):
     doubled = documents.union(documents.filter("doc_id = 1"))
     out = remove_near_duplicates(doubled, 3, 85)
