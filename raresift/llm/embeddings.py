@@ -41,8 +41,8 @@ THRESHOLD = 0.98
 SAMPLE, SAMPLE_VALUES, PROBE = 20_000, 4_000_000, 1000
 #: Numbers of cells to deal by and to order by inside a task; each has so many sampled vectors at least.
 CELLS, NEAR_CELLS, CELL_SAMPLE = (64, 256, 1024, 4096), (64, 256, 1024), 4
-#: Directions to compare by first, and the share of a sample's pairs that may pass without a link.
-LEADING, LEADING_SHARE = (16, 32, 64, 128), 1e-5
+#: Directions to compare by first, the share of a sample's pairs that may pass without a link, and the longest vectors to find them for.
+LEADING, LEADING_SHARE, LEADING_DIM = (16, 32, 64, 128), 1e-5, 2048
 #: Cost in ns of comparing two vectors by all of 64 numbers or a quarter, of a vector with a centroid, of placing a row in a cell, of dealing one.
 PAIR_NS, LEADING_NS, DOT_NS, GATHER_NS, COPY_NS = 2.6, 1.3, 4.5, 50, 1500
 #: Rows of a label, of 64 numbers each, that are worth a sample.
@@ -54,8 +54,8 @@ BLOCK_VALUES, SLICE_VALUES = 1 << 22, 1 << 20
 PLACE_ROWS, PART_GUESTS = 4096, 1 << 18
 #: Vectors that travel in one row, and bytes of such rows in a batch.
 PACK_ROWS, BATCH_BYTES = 1024, 4 << 20
-#: Bytes that a round deals, or as many as the classes have.
-ROUND_BYTES = 256 << 20
+#: Bytes that a round deals, or as many as the classes have; rounds whose links are read together.
+ROUND_BYTES, MOST_FOUND = 256 << 20, 32
 #: Numbers of a product that are held at a time; rows that are ordered by cells at a time, and their homes and guests.
 TILE, NEAR_ROWS, NEAR_VISITS = 1 << 22, 1 << 14, 1 << 21
 #: The band in which a cosine is computed again, with more digits.
@@ -195,9 +195,11 @@ def near_duplicate_vectors(
         )
         _freed(spark)
         plans = _plans(classes, threshold)
-        placed = materialize(_placed(classes, label_type, plans, threshold), "vector-cells")
-        discard(classes)
-        _freed(spark)
+        placed = classes.withColumns({"home": F.lit(0), "guests": F.lit(b"")})
+        if any(plan.cells is not None for plan in plans.values()):
+            placed = materialize(_placed(classes, label_type, plans, threshold), "vector-cells")
+            discard(classes)
+            _freed(spark)
         found = _found(placed, label_type, plans, threshold, 4 if single else 8)
         # a class's own copies are links of each other
         counted = found.filter("key IS NOT NULL").groupBy("label", "key").agg(F.sum("links").alias("links"))
@@ -372,12 +374,17 @@ def _found(placed: DataFrame, label_type: str, plans: dict[int, Plan], threshold
             arrays = [keys[0][starts], keys[1][starts].astype(np.int32), keys[2][starts].astype(np.int32), both - guests, guests]
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["mark", "dim", "cell", "homes", "guests"])
 
-    sizes = placed.select("mark", "dim", "home", "guests").mapInArrow(count, "mark long, dim int, cell int, homes long, guests long")
-    sizes = sizes.groupBy("mark", "dim", "cell").agg(F.sum("homes").alias("homes"), F.sum("guests").alias("guests"))
+    by_cells = any(plan.cells is not None for plan in plans.values())
+    if by_cells:
+        sizes = placed.select("mark", "dim", "home", "guests").mapInArrow(count, "mark long, dim int, cell int, homes long, guests long")
+        sizes = sizes.groupBy("mark", "dim", "cell").agg(F.sum("homes").alias("homes"), F.sum("guests").alias("guests"))
+    else:
+        sizes = placed.groupBy("mark", "dim", F.col("home").alias("cell")).agg(F.count("*").alias("homes"))
+        sizes = sizes.withColumn("guests", F.lit(0).cast("long"))
     block = F.greatest(F.lit(1), F.floor(F.lit(block_values) / F.col("dim")))
     sizes = materialize(
         sizes.withColumn("nb", F.greatest(F.lit(1), F.ceil(F.col("homes") / block)))
-        .withColumn("gb", F.greatest(F.lit(1), F.ceil(F.col("guests") / block)))
+        .withColumn("gb", F.greatest(F.lit(int(by_cells)), F.ceil(F.col("guests") / block)))  # none without guests
         .withColumn("large", F.col("homes") + F.col("guests") > block),
         "vector-sizes",
     )
@@ -398,8 +405,11 @@ def _found(placed: DataFrame, label_type: str, plans: dict[int, Plan], threshold
             yield from ((b, j) for j in range(b, nb + gb))
             yield from ((i, b) for i in range(b))
 
-    def turn(cell, i: int = 0, j: int = 0):
-        return (cell + 7 * i + 31 * j) % rounds
+    def turn(place: np.ndarray, i: int = 0, j: int = 0) -> np.ndarray:
+        """The round of a task, drawn from its label, cell and blocks."""
+        mixed = (place ^ place >> np.uint64(32)) + np.uint64((i * 0x85EBCA77 + j * 0xC2B2AE3D) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        return (mixed >> np.uint64(32)) % np.uint64(rounds)
 
     def dealer(now: int):
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -418,9 +428,9 @@ def _found(placed: DataFrame, label_type: str, plans: dict[int, Plan], threshold
             at = np.searchsorted(plan_keys, place)
             cut = at < len(plan_keys)
             cut[cut] = plan_keys[at[cut]] == place[cut]
-            mine = np.flatnonzero(cut | (turn(cell) == now))
+            mine = np.flatnonzero(cut | (turn(place) == now))
             mine = mine[np.lexsort((guest[mine], cell[mine], codes[row[mine]]))]
-            row, cell, guest, cut, at = row[mine], cell[mine], guest[mine], cut[mine], at[mine]
+            row, cell, guest, cut, at, place = row[mine], cell[mine], guest[mine], cut[mine], at[mine], place[mine]
             if not len(row):
                 return
             code = codes[row]
@@ -437,7 +447,7 @@ def _found(placed: DataFrame, label_type: str, plans: dict[int, Plan], threshold
                         nb, gb = plan_blocks[at[first]].tolist()
                         drawn = int.from_bytes(keys[some[0], :8].tobytes(), "little")
                         b = nb + drawn % gb if g else drawn % nb
-                        tasks = [t for t in tasks_of(b, nb, gb, g) if turn(c, *t) == now]
+                        tasks = [t for t in tasks_of(b, nb, gb, g) if turn(place[first : first + 1], *t)[0] == now]
                         if not tasks:
                             continue
                     body = b"".join((reps[some].tobytes(), copies[some].tobytes(), keys[some].tobytes(), x[some].tobytes()))
@@ -485,6 +495,8 @@ def _found(placed: DataFrame, label_type: str, plans: dict[int, Plan], threshold
         tasks = placed.mapInArrow(dealer(now), dealt_schema).groupBy("label", "dim", "cell", "i", "j")
         found.append(materialize(tasks.applyInArrow(multiply, f"label {label_type}, key binary, links long, a long, b long"), "vector-links"))
         del tasks
+        if len(found) == MOST_FOUND:
+            found = [materialize(reduce(DataFrame.unionByName, found), "vector-links")]
         _freed(spark)
     return reduce(DataFrame.unionByName, found)
 
@@ -673,6 +685,8 @@ def _plans(classes: DataFrame, threshold: float) -> dict[int, Plan]:
         least = F.lit(-(1 << 63) + min((1 << 64) - 1, int(share * 2**64)))
         rows = classes.filter((F.col("dim") == r.dim) & (drawn <= least)).select(drawn.alias("drawn"), "vector").collect()
         rows = sorted((row.drawn, bytes(row.vector)) for row in rows)[:limit]
+        if not rows:
+            continue
         x = unit32(np.stack([np.frombuffer(v, f"<f{len(v) // r.dim}").astype(np.float64) for _, v in rows]))
         probe = min(PROBE, len(x) // 2)
         out[int(r.dim)] = _plan(x[probe:], x[:probe], r.most, threshold)
@@ -682,6 +696,8 @@ def _plans(classes: DataFrame, threshold: float) -> dict[int, Plan]:
 def _plan(x: np.ndarray, probe: np.ndarray, n: int, threshold: float) -> Plan:
     """The cheapest plan for labels of up to ``n`` vectors like these; probe: none of x, which are near their own centroids."""
     dim = x.shape[1]
+    if not len(probe):
+        return Plan()
     size, block = dim / 64, max(1, BLOCK_VALUES // dim)
     plan, pair = Plan(leading=_leading(x, probe, threshold)), PAIR_NS * size
     if plan.leading is not None:
@@ -720,11 +736,15 @@ def _plan(x: np.ndarray, probe: np.ndarray, n: int, threshold: float) -> Plan:
         cost = copies * COPY_NS * size + cells * DOT_NS * size + n * met * pair
         if cost < best:
             best, plan.cells = cost, centers
+        elif cost > 3 * best:  # and more with more cells
+            break
     return plan
 
 
 def _leading(x: np.ndarray, probe: np.ndarray, threshold: float) -> np.ndarray | None:
     """Directions in which x varies most, as few as tell most of its pairs apart; None: all numbers."""
+    if x.shape[1] > LEADING_DIM:
+        return None
     some = x[: 4 * PROBE]
     cos = probe @ some.T
     directions = np.linalg.eigh(x.astype(np.float64).T @ x)[1][:, ::-1].astype(np.float32)

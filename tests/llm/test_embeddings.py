@@ -97,7 +97,7 @@ def test_cells_blocks_and_rounds(spark, monkeypatch, kind):
     """Few rows to a cell, block, pack and round; results as from comparing all pairs."""
     for name, value in {
         "PLAN_ROWS": 1, "CELLS": (6, 12), "NEAR_CELLS": (4,), "LEADING": (4, 8), "COPY_NS": 0.001, "DOT_NS": 0.001, "PAIR_NS": 1000, "LEADING_NS": 900,
-        "PROBE": 60, "BLOCK_VALUES": 16 * 20, "PACK_ROWS": 7, "ROUND_BYTES": 4096,
+        "PROBE": 60, "BLOCK_VALUES": 16 * 20, "PACK_ROWS": 7, "ROUND_BYTES": 4096, "MOST_FOUND": 3,
     }.items():
         monkeypatch.setattr(embeddings, name, value)
     plans, rounds = [], []
